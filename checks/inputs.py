@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +17,19 @@ from tidewatch.operators.newest import Posts
 from tidewatch.sources.watchlist import WatchList
 
 CUTOFF = 1704153600  # 2024-01-02 UTC
-FIRST_RUN = 1704240000  # 2024-01-03 UTC: what an earlier run could see
+FIRST_RUN = 1704304800  # 2024-01-03 18:00 UTC: what an earlier run could see
 SUBREDDITS = [*(f"src{i}" for i in range(20)), "nosuch"]
 KEYWORDS = ["The", "tion", "EAU", "über"]
-LEXICON = [("the", 0.1), ("is", 0.5), ("was", -0.4), ("not", -0.2), ("la", 0.3), ("und", -0.3)]
+LEXICON = {"the": 0.1, "is": 0.5, "was": -0.4, "not": -0.2, "la": 0.3, "und": -0.3}
+
+
+# Stated so that no job has to run to look the schemas up.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -33,7 +43,11 @@ class Inputs:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def literal(self, **columns: list) -> DataFrame:
+        """A few literal rows, which the optimizer sees as such."""
+        return self.spark.createDataFrame(pa.table(columns))
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -77,7 +91,7 @@ class Inputs:
         """Every post's text."""
         return self.documents.select(
             F.col("doc_id").cast("string").alias("id"),
-            F.split_part(F.col("text"), F.lit("\n"), F.lit(1)).alias("title"),
+            F.substring_index("text", "\n", 1).alias("title"),
             F.col("text").alias("selftext"),
             self.permalink(F.col("source"), F.col("doc_id")).alias("permalink"),
         )
@@ -116,11 +130,11 @@ class Inputs:
 
     @cached_property
     def subreddits(self) -> DataFrame:
-        return self.spark.createDataFrame([(s,) for s in SUBREDDITS], "subreddits string")
+        return self.literal(subreddits=SUBREDDITS)
 
     @cached_property
     def keywords(self) -> DataFrame:
-        return self.spark.createDataFrame([(k,) for k in KEYWORDS], "keywords string")
+        return self.literal(keywords=KEYWORDS)
 
     @cached_property
     def watch(self) -> WatchList:
@@ -128,7 +142,7 @@ class Inputs:
 
     @cached_property
     def lexicon(self) -> DataFrame:
-        return self.spark.createDataFrame(LEXICON, "word string, polarity double")
+        return self.literal(word=list(LEXICON), polarity=list(LEXICON.values()))
 
     @cached_property
     def emails(self) -> DataFrame:

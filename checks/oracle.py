@@ -27,7 +27,7 @@ raw_comments as (
 raw_comments_t0 as (select * from raw_comments where created_utc <= {FIRST_RUN}),
 kw as (select unnest({KEYWORDS}) keyword),
 subs as (select 'src' || i subreddit from range(20) r(i) union all select 'nosuch'),
-lexicon as (select unnest({[w for w, _ in LEXICON]}) word, unnest({[p for _, p in LEXICON]})::double polarity),
+lexicon as (select unnest({list(LEXICON)}) word, unnest({list(LEXICON.values())})::double polarity),
 newest as (
   select p.*, row_number() over (partition by subreddit_name order by created_utc desc, id) rn
   from posts p where subreddit_name in (select subreddit from subs)),
@@ -174,7 +174,7 @@ def _type_rows() -> str:
     for (table, compat), columns in _TYPES.items():
         for position, (name, kind) in enumerate(columns):
             stored = "key" if (table, name) == ("submissions", "keyword") else name
-            longest = "null::int" if name in _NO_TEXT else f'cast(max(length("{stored}")) as int)'
+            longest = "cast(max(null) as int)" if name in _NO_TEXT else f'cast(max(length("{stored}")) as int)'
             parts.append(
                 f"select '{table}' table_name, {position} \"position\", '{name}' column_name, "
                 f"'{kind}' sql_type, {longest} max_chars, {str(compat).lower()} compat from gold_{table}_run"

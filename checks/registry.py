@@ -121,10 +121,7 @@ def submissions_incremental(i: Inputs) -> DataFrame:
 @query
 def merge_submissions(i: Inputs) -> DataFrame:
     # Every match of today against the earlier ones: matched and new rows.
-    bound = i.watch.submission_bound(bronze.POSTS_PER_SUBREDDIT)
-    return merge.merge_upsert(
-        _submissions_t0(i), submissions_full(i), bronze.MERGE_KEYS, max_source=bound
-    )
+    return merge.merge_upsert(_submissions_t0(i), submissions_full(i), bronze.MERGE_KEYS)
 
 
 @query

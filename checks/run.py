@@ -29,7 +29,7 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
     """Rows in a comparable form: columns by name, NULLs alike, sorted."""
 
     def plain(value):
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "<null>"
         if isinstance(value, bool):
             return f"b:{value}"

@@ -1,76 +1,138 @@
-"""Sentiment polarity from a word list, as a join.
+"""Sentiment polarity from a word list.
 
 The word list is input data: (word, polarity), optionally with `is_negation`
-and `intensity`. A text scores the mean polarity of its tokens found in the
-list, 0.0 if none is found, NULL if the text is NULL.
+and `intensity`, which scale the polarity of the word that follows. A text
+scores the mean polarity of its tokens found in the list, 0.0 if none is
+found, NULL if the text is NULL. A word listed twice has the mean of its
+entries.
+
+A list of usual size is folded into one expression over the tokens, so that
+scoring is part of the scan: no shuffle, no second read of the texts. A list
+too long for that is joined to the tokens instead. Both give the same scores.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import groupby
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.sizes import measure
 
 TOKEN = r"\p{L}+"
+NEGATION_FACTOR = -0.5
 # Polarities are summed as whole billionths, so that a score does not depend
 # on the order in which partial sums meet.
 UNIT = 1_000_000_000
-NEGATION_FACTOR = -0.5
 
+MAX_INLINE_WORDS = 20_000
+MAX_INLINE_VALUES = 500
 
-def score_texts(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
-    """(keys, score) for rows of `df` with at least one known token.
 
-    Only keys and tokens leave the scan. Tokens of a row sit in one task, so
-    the partial aggregate brings them down to one narrow row per key before
-    the shuffle. Rows that repeat a key must repeat its text.
-    """
-    fits = measure(lexicon).broadcastable
-    entries = F.broadcast(lexicon) if fits else lexicon
-    tokens = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))
-    polarity = F.col("polarity")
+def _entries(lexicon: DataFrame) -> DataFrame:
+    """One row per word: its polarity (NULL for a mere modifier) and the
+    factor it puts on the next word (NULL for none)."""
+    factor = F.lit(None).cast("double")
     if {"is_negation", "intensity"} <= set(lexicon.columns):
-        # Pair each token with the one before it, then look both up.
-        before = F.concat(F.array(F.lit(None).cast("string")), "_tokens")
-        words = df.select(*keys, tokens.alias("_tokens")).select(
-            *keys, F.inline(F.arrays_zip(F.col("_tokens").alias("word"), before.alias("before")))
-        )
-        modifiers = lexicon.where("is_negation or intensity is not null").select(
-            F.col("word").alias("before"), "is_negation", "intensity"
-        )
-        hits = words.join(entries.select("word", "polarity"), "word").join(
-            F.broadcast(modifiers) if fits else modifiers, "before", "left"
-        )
-        scaled = (
-            polarity
-            * F.coalesce("intensity", F.lit(1.0))
-            * F.when(F.col("is_negation"), NEGATION_FACTOR).otherwise(1.0)
+        negated = F.max(F.coalesce("is_negation", F.lit(False)))
+        intensity = F.avg("intensity")
+        factor = F.when(
+            negated | intensity.isNotNull(),
+            F.coalesce(intensity, F.lit(1.0)) * F.when(negated, NEGATION_FACTOR).otherwise(1.0),
         )
-        polarity = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), scaled))
-    else:
-        words = df.select(*keys, F.explode(tokens).alias("word"))
-        hits = words.join(entries.select("word", "polarity"), "word")
-    units = F.round(polarity * UNIT).cast("bigint")
-    return (
-        hits.groupBy(*keys)
-        .agg(F.sum(units).alias("_sum"), F.count(units).alias("_n"))
-        .select(
-            *keys,
-            (F.round(F.col("_sum") / (F.col("_n") * F.lit(UNIT)).cast("double"), 6) + F.lit(0.0)).alias("score"),
-        )
-    )
+    return lexicon.groupBy("word").agg(F.avg("polarity").alias("polarity"), factor.alias("factor"))
+
+
+def _tokens(text: str) -> Column:
+    return F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))
+
+
+def _units(polarity: Column, factor: Column) -> Column:
+    """Polarity times factor within -1..1, in whole units."""
+    scaled = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), polarity * F.coalesce(factor, F.lit(1.0))))
+    return F.round(scaled * UNIT).cast("bigint")
+
 
+def _mean(total: Column, n: Column) -> Column:
+    return F.round(total / (n * F.lit(UNIT)).cast("double"), 6) + F.lit(0.0)
 
-def with_sentiment(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, out: str) -> DataFrame:
-    """`df` with the column `out`, the polarity of `text`.
 
-    The scores come back by a join on `keys`. A frame that is already
-    partitioned by `keys` (comments straight from deduplication) is not
-    shuffled again.
+def with_sentiment(
+    df: DataFrame,
+    keys: list[str],
+    text: str,
+    lexicon: DataFrame,
+    out: str,
+    max_inline_words: int = MAX_INLINE_WORDS,
+) -> DataFrame:
+    """`df` with the column `out`, the polarity of `text`. `keys` identify a
+    row; rows that share them must share the text."""
+    if measure(lexicon)[0].rows <= max_inline_words:
+        entries = _entries(lexicon).collect()
+        if len({(e["polarity"], e["factor"]) for e in entries}) <= MAX_INLINE_VALUES:
+            return _score_in_place(df, text, entries, out)
+    return _score_by_join(df, keys, text, lexicon, out)
+
+
+def _lookup(token: Column, entries: list, column: str) -> Column:
+    """The value of `column` for a token, NULL if it has none.
+
+    Words of equal value form one set, so that a lookup is a few hash probes,
+    and only one for a token that is not in the list.
     """
-    score = F.when(F.col(text).isNotNull(), F.coalesce("score", F.lit(0.0)))
-    return (
-        df.join(score_texts(df, keys, text, lexicon), keys, "left")
-        .select(*[F.col(c) for c in df.columns], score.alias(out))
+    known = sorted(((e[column], e["word"]) for e in entries if e[column] is not None))
+    if not known:
+        return F.lit(None).cast("double")
+    chosen = F
+    for value, words in groupby(known, key=lambda e: e[0]):
+        chosen = chosen.when(token.isin([word for _, word in words]), F.lit(float(value)))
+    return F.when(token.isin([word for _, word in known]), chosen)
+
+
+def _score_in_place(df: DataFrame, text: str, entries: list, out: str) -> DataFrame:
+    start = F.struct(
+        F.lit(0).cast("bigint").alias("total"),
+        F.lit(0).cast("bigint").alias("n"),
+        F.lit(None).cast("double").alias("factor"),
+    )
+
+    def add(seen: Column, token: Column) -> Column:
+        units = _units(_lookup(token, entries, "polarity"), seen["factor"])
+        hit = token.isin([e["word"] for e in entries if e["polarity"] is not None])
+        return F.struct(
+            (seen["total"] + F.when(hit, units).otherwise(F.lit(0))).alias("total"),
+            (seen["n"] + F.when(hit, 1).otherwise(0)).alias("n"),
+            _lookup(token, entries, "factor").alias("factor"),
+        )
+
+    def finish(seen: Column) -> Column:
+        return F.when(seen["n"] > 0, _mean(seen["total"], seen["n"])).otherwise(0.0)
+
+    return df.withColumn(out, F.aggregate(_tokens(text), start, add, finish))
+
+
+def _score_by_join(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, out: str) -> DataFrame:
+    """Only keys and tokens leave the scan. Tokens of a row sit in one task,
+    so the partial aggregate brings them down to one narrow row per key before
+    the shuffle, whatever words are frequent."""
+    entries = _entries(lexicon)
+    fits = measure(lexicon)[0].broadcastable
+    polarities = entries.where("polarity is not null").select("word", "polarity")
+    factors = entries.where("factor is not null").select(F.col("word").alias("before"), "factor")
+    if fits:
+        polarities, factors = F.broadcast(polarities), F.broadcast(factors)
+
+    before = F.concat(F.array(F.lit(None).cast("string")), "_tokens")
+    words = df.select(*keys, _tokens(text).alias("_tokens")).select(
+        *keys, F.inline(F.arrays_zip(F.col("_tokens").alias("word"), before.alias("before")))
+    )
+    hits = words.join(polarities, "word").join(factors, "before", "left")
+    units = _units(F.col("polarity"), F.col("factor"))
+    scores = (
+        hits.groupBy(*keys)
+        .agg(F.sum(units).alias("_total"), F.count(units).alias("_n"))
+        .select(*keys, _mean(F.col("_total"), F.col("_n")).alias("_score"))
     )
+    score = F.when(F.col(text).isNotNull(), F.coalesce("_score", F.lit(0.0)))
+    return df.join(scores, keys, "left").select(*[F.col(c) for c in df.columns], score.alias(out))

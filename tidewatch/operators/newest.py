@@ -60,7 +60,7 @@ def newest_index(posts: Posts, watch: WatchList, n: int | None, salts: int = SAL
     """
     names = watch.subreddits.select(F.col("subreddits").alias("subreddit_name"))
     index = posts.index.join(
-        broadcast_if(names.distinct(), watch.n_subreddits), "subreddit_name", "left_semi"
+        broadcast_if(names, watch.n_subreddits), "subreddit_name", "left_semi"
     )
     if n is not None:
         order = [F.col("created_utc").desc(), F.col("id").asc()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,18 +26,26 @@ class Size:
         return self.rows <= MAX_BROADCAST_ROWS and self.bytes <= MAX_BROADCAST_BYTES
 
 
-def measure(df: DataFrame) -> Size:
-    """Rows and text bytes of `df`, reading no more than the broadcast bound.
+def measure(*frames: DataFrame) -> list[Size]:
+    """Rows and text bytes of each frame, reading no more than the bound.
 
-    Meant for lists a person keeps (watch lists, lexicons), not for data.
+    Meant for lists a person keeps (watch lists, lexicons), not for data. One
+    job, whose single task sees at most MAX_BROADCAST_ROWS + 1 rows per frame.
     """
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    row = (
-        df.limit(MAX_BROADCAST_ROWS + 1)
-        .agg(F.count("*").alias("rows"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"))
-        .first()
+    widths = []
+    for i, df in enumerate(frames):
+        texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
+        width = reduce(lambda a, b: a + b, texts).cast("bigint").alias("width")
+        widths.append(df.limit(MAX_BROADCAST_ROWS + 1).select(F.lit(i).alias("frame"), width))
+    found = (
+        reduce(DataFrame.unionAll, widths)
+        .coalesce(1)
+        .groupBy("frame")
+        .agg(F.count("*").alias("rows"), F.sum("width").alias("bytes"))
+        .collect()
     )
-    return Size(row["rows"], row["bytes"])
+    sizes = {row["frame"]: Size(row["rows"], row["bytes"]) for row in found}
+    return [sizes.get(i, Size(0, 0)) for i in range(len(frames))]
 
 
 def broadcast_if(df: DataFrame, max_rows: int | None) -> DataFrame:

@@ -19,7 +19,7 @@ class WatchList:
     """The two lists with their measured sizes.
 
     Lists are multisets: a line given twice counts twice. Measuring costs one
-    small job per list and settles every broadcast decision that follows.
+    small job and settles every broadcast decision that follows.
     """
 
     subreddits: DataFrame
@@ -32,11 +32,11 @@ class WatchList:
     def of(cls, subreddits: DataFrame, keywords: DataFrame) -> WatchList:
         subreddits = subreddits.select(F.col(subreddits.columns[0]).alias("subreddits"))
         keywords = keywords.select(F.col(keywords.columns[0]).alias("keywords"))
-        size = measure(keywords)
+        sub_size, size = measure(subreddits, keywords)
         shortest = 0
         if not size.broadcastable:
             shortest = keywords.agg(F.min(F.length("keywords"))).first()[0] or 0
-        return cls(subreddits, keywords, measure(subreddits).rows, size, shortest)
+        return cls(subreddits, keywords, sub_size.rows, size, shortest)
 
     def post_bound(self, n: int | None) -> int | None:
         """Most posts a newest-n selection can hold, or None if unbounded."""
