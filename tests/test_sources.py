@@ -1,0 +1,271 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan, rows
+from tidewatch.plans.growth import snapshot_growth, snapshot_new_rows, update_counts
+from tidewatch.session import scratch_dir
+from tidewatch.sources import jdbc, tables
+from tidewatch.sources.snapshots import SnapshotTables
+from tidewatch.sources.watchlist import (
+    WatchList, first_recipient, read_csv_raw, read_list, select_config_files, write_list,
+)
+from tidewatch.sizes import MAX_BROADCAST_ROWS, broadcast_if, measure
+
+
+def frame(spark, *ids):
+    return spark.createDataFrame([(i, f"k{i}", 1) for i in ids], "id string, key string, v int")
+
+
+@pytest.fixture
+def store(spark, root):
+    return SnapshotTables(spark, f"{root}/tables")
+
+
+# --- lists
+
+
+def test_lists_round_trip_with_commas_and_quotes(spark, root):
+    values = ["plain", "with, comma", "with \"quotes\"", "über"]
+    write_list(spark.createDataFrame([(v,) for v in values], "x string"), f"{root}/l")
+    assert rows(read_list(spark, f"{root}/l", "keywords")) == sorted([(v,) for v in values], key=repr)
+    raw = read_csv_raw(spark, f"{root}/l")
+    assert raw.columns == ["_c0"] and raw.count() == 4
+
+
+def test_headerless_files_keep_their_first_line(spark, root):
+    with open(f"{root}/subs.csv", "w") as file:
+        file.write("news\nscience\n")
+    assert rows(read_list(spark, f"{root}/subs.csv", "subreddits")) == [("news",), ("science",)]
+    with open(f"{root}/two.csv", "w") as file:
+        file.write("a,b\n")
+    assert read_csv_raw(spark, f"{root}/two.csv").columns == ["_c0", "_c1"]
+
+
+def test_config_files_are_selected_by_name_and_not_trashed(spark):
+    files = spark.createDataFrame(
+        [("subreddits", False), ("keywords", False), ("email", False), ("notes", False), ("keywords", True)],
+        "name string, trashed boolean",
+    )
+    assert rows(select_config_files(files), "name") == [("email",), ("keywords",), ("subreddits",)]
+
+
+def test_first_recipient_is_definite(spark):
+    df = spark.createDataFrame([("b@x",), (None,), ("a@x",)], "_c0 string").repartition(3)
+    assert rows(first_recipient(df)) == [("a@x",)]
+
+
+def test_sizes(spark):
+    one, none = measure(spark.createDataFrame([("é", 1), (None, 2)], "a string, b int"), spark.range(0))
+    assert (one.rows, one.bytes) == (2, 4) and (none.rows, none.bytes) == (0, 0)
+    assert not measure(spark.range(MAX_BROADCAST_ROWS + 5))[0].broadcastable
+    other = spark.range(3)
+    assert "BroadcastHashJoin" in plan(other.hint("merge").join(broadcast_if(spark.range(5), 5), "id"))
+    assert "BroadcastHashJoin" not in plan(other.hint("merge").join(broadcast_if(spark.range(5), None), "id"))
+    big = broadcast_if(spark.range(5), MAX_BROADCAST_ROWS + 1)
+    assert "BroadcastHashJoin" not in plan(other.hint("merge").join(big, "id"))
+
+
+def test_watch_list_bounds(spark):
+    watch = WatchList.of(spark.range(3).select(F.col("id").cast("string")), spark.range(4).select(F.col("id").cast("string")))
+    assert (watch.post_bound(10), watch.submission_bound(10), watch.post_bound(None)) == (30, 120, None)
+
+
+# --- snapshots
+
+
+def test_versions_count_up_and_stay_readable(spark, store):
+    assert store.latest("t") is None and not store.exists("t")
+    assert store.overwrite(frame(spark, "1"), "t") == 0
+    assert store.append(frame(spark, "2"), "t") == 1
+    assert store.overwrite(frame(spark, "3"), "t") == 2
+    assert [rows(store.read("t", v), "id") for v in (0, 1, 2)] == [[("1",)], [("1",), ("2",)], [("3",)]]
+    assert rows(store.read("t"), "id") == [("3",)]
+    assert rows(store.history("t")) == [(0, 0), (1, 0), (2, 2)]
+    assert rows(store.read("t", 1, since=0), "id") == [("2",)]
+    assert rows(store.read("t", 1, since=1)) == []
+    assert rows(store.counts("t", [0, 1, 2, 7])) == [(0, 1), (1, 2), (2, 1)]
+
+
+def test_unknown_tables_and_versions_raise(spark, store):
+    with pytest.raises(ValueError, match="no such table"):
+        store.read("t")
+    store.overwrite(frame(spark, "1"), "t")
+    with pytest.raises(ValueError, match="no version 4"):
+        store.read("t", 4)
+    store.overwrite(frame(spark, "1"), "t")
+    with pytest.raises(ValueError, match="share a base"):
+        store.read("t", 1, since=0)
+
+
+def test_a_write_without_commit_marker_is_not_seen_and_is_replaced(spark, store, root):
+    store.overwrite(frame(spark, "1"), "t")
+    half = f"{root}/tables/t/base=1/part=1"
+    frame(spark, "junk").write.parquet(half)
+    os.remove(f"{half}/_SUCCESS")
+    assert store.latest("t") == 0
+    assert store.overwrite(frame(spark, "2"), "t") == 1
+    assert rows(store.read("t"), "id") == [("2",)]
+
+
+def test_overwrite_while_reading_the_same_table(spark, store):
+    store.overwrite(frame(spark, "1", "2"), "t")
+    store.overwrite(store.read("t").where("id = '2'"), "t")
+    assert rows(store.read("t"), "id") == [("2",)]
+
+
+def test_schema_may_change_unless_held(spark, store):
+    store.overwrite(frame(spark, "1"), "t")
+    wider = frame(spark, "1").withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError, match="may not change"):
+        store.overwrite(wider, "t", same_schema=True)
+    assert store.overwrite(wider, "t") == 1
+    assert store.overwrite(wider, "t", same_schema=True) == 2
+
+
+def test_merge_of_new_keys_writes_only_them(spark, store, root):
+    store.overwrite(frame(spark, "1"), "t")
+    store.merge(frame(spark, "2"), "t", ["id", "key"], max_source=1)
+    assert store.versions("t") == {0: 0, 1: 0}
+    assert spark.read.parquet(f"{root}/tables/t/base=0/part=1").count() == 1
+    changed = frame(spark, "2").withColumn("v", F.lit(9))
+    store.merge(changed, "t", ["id", "key"], max_source=1)
+    assert store.versions("t") == {0: 0, 1: 0, 2: 2}
+    assert rows(store.read("t"), "id", "v") == [("1", 1), ("2", 9)]
+    assert rows(store.read("t", 1), "id", "v") == [("1", 1), ("2", 1)]
+
+
+def test_merge_twice_is_merge_once(spark, store):
+    store.overwrite(frame(spark, "1"), "t")
+    for _ in range(2):
+        store.merge(frame(spark, "1", "2"), "t", ["id", "key"])
+    assert rows(store.read("t"), "id") == [("1",), ("2",)]
+
+
+def test_drop_restarts_numbering(spark, store):
+    store.overwrite(frame(spark, "1"), "t")
+    store.overwrite(frame(spark, "1"), "t")
+    store.drop("t")
+    store.drop("t")
+    assert not store.exists("t")
+    assert store.overwrite(frame(spark, "1"), "t") == 0
+
+
+def test_empty_frames_are_versions_too(spark, store):
+    store.overwrite(frame(spark, "1").where("false"), "t")
+    assert store.read("t").count() == 0 and store.read("t").columns == ["id", "key", "v"]
+
+
+def test_growth_and_new_rows(spark, store):
+    store.overwrite(frame(spark, "1", "2"), "t")
+    growth = snapshot_growth(store.counts("t", [-1, 0]), 0).first()
+    assert (growth["n_curr"], growth["n_prev"], growth["growth"]) == (2, None, 0)
+    assert snapshot_new_rows(store, "t", 0, ["id"]).count() == 2
+    store.append(frame(spark, "3"), "t")
+    assert rows(snapshot_new_rows(store, "t", 1, ["id"]), "id") == [("3",)]
+    store.overwrite(frame(spark, "1", "4"), "t")
+    assert rows(snapshot_new_rows(store, "t", 2, ["id"]), "id") == [("4",)]
+    # Fewer rows than before is no growth, though one row is new.
+    assert snapshot_growth(store.counts("t", [1, 2]), 2).first()["growth"] == 0
+
+
+def test_update_counts(spark, store):
+    for name in ("submissions", "comments_indirect"):
+        store.overwrite(frame(spark, "1"), name)
+    assert update_counts(store, same=False, updates=False) == (1, 1)
+    assert update_counts(store, same=True, updates=True) == (0, 0)
+    store.append(frame(spark, "2", "3"), "submissions")
+    store.overwrite(frame(spark, "1", "2"), "comments_indirect")
+    assert update_counts(store, same=True, updates=True) == (2, 1)
+    assert update_counts(store, same=True, updates=False) == (0, 1)
+    assert update_counts(store, same=False, updates=False) == (3, 2)
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# --- catalog tables
+
+
+def test_catalog_tables(spark):
+    name = "tidewatch_test"
+    assert not tables.table_exists(spark, name)
+    tables.write_table(frame(spark, "1"), name)
+    assert tables.table_exists(spark, name)
+    wider = frame(spark, "2").withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError, match="may not change"):
+        tables.write_table(wider, name, same_schema=True)
+    tables.write_table(wider, name)
+    assert rows(tables.read_table(spark, name)) == [("2", "k2", 1, 1)]
+    tables.drop_table(spark, name)
+    tables.drop_table(spark, name)
+    assert not tables.table_exists(spark, name)
+
+
+# --- JDBC, without a database
+
+
+class FakeJdbc:
+    """Stands in for the frame, its writer and the reader of the target."""
+
+    def __init__(self, rows, stored=None):
+        self.rows, self.stored, self.seen = rows, rows if stored is None else stored, {}
+        self.write = self.read = self.sparkSession = self
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def mode(self, mode):
+        self.seen["mode"] = mode
+        return self
+
+    def save(self):
+        self.seen["saved"] = True
+
+    def load(self):
+        return FakeJdbc(self.stored)
+
+    def count(self):
+        return self.rows
+
+
+def test_jdbc_options():
+    df = FakeJdbc(3)
+    jdbc.sync_jdbc(df, "jdbc:x", "comments", {"user": "u"})
+    assert df.seen == {
+        "format": "jdbc", "url": "jdbc:x", "dbtable": "comments", "user": "u", "batchsize": 1000,
+        "numPartitions": 16, "truncate": False, "mode": "overwrite", "saved": True,
+    }
+
+
+def test_jdbc_count_is_checked():
+    with pytest.raises(RuntimeError, match="wrote 3 rows, found 4"):
+        jdbc.sync_jdbc(FakeJdbc(3, stored=4), "jdbc:x", "comments")
+
+
+def test_sync_frame_renames_the_keyword(spark):
+    assert jdbc.sync_frame(frame(spark, "1")).columns == ["id", "keyword", "v"]
+
+
+def test_column_report(spark):
+    df = spark.createDataFrame([("abc", 1), ("é", 2), (None, 3)], "s string, i int")
+    assert rows(jdbc.column_report(df, "t")) == [
+        ("t", 0, "s", "NVARCHAR(MAX)", 3), ("t", 1, "i", "INT", None),
+    ]
+
+
+def test_delta_is_optional(spark, root):
+    from tidewatch.sources.delta import DeltaTables
+
+    try:
+        import delta  # noqa: F401
+    except ImportError:
+        with pytest.raises(RuntimeError, match="not installed"):
+            DeltaTables(spark, root)
