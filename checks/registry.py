@@ -144,7 +144,8 @@ def table_by_name(i: Inputs) -> DataFrame:
 
 @query
 def comments_direct(i: Inputs) -> DataFrame:
-    return bronze.comments_direct(submissions_full(i), i.comments(), i.watch)
+    bound = i.watch.post_bound(bronze.POSTS_PER_SUBREDDIT)
+    return comment_ops.comments_direct(submissions_full(i), i.comments(), bound)
 
 
 @query

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from helpers import bronze_comments, comments_frame, plan, post, posts_of, rows, watch_list
-from tidewatch.operators.comments import dedup_comments, drop_deleted, union_comments
+from tidewatch.operators.comments import comments_direct, dedup_comments, drop_deleted, union_comments
 from tidewatch.operators.match import match_posts
 from tidewatch.plans import bronze, silver
 
@@ -21,7 +21,7 @@ def test_direct_repeats_comments_per_submissions_row(spark, bounded):
     watch = watch_list(spark, ["a"], ["x", "y"])
     submissions = match_posts(posts_of(spark, [post("1", title="x y"), post("2", title="x")]), watch, 10, 0)
     comments = comments_frame(spark, [comment("c1"), comment("c2", "2"), comment("c3", "9")])
-    direct = bronze.comments_direct(submissions, comments, watch if bounded else None)
+    direct = comments_direct(submissions, comments, 10 if bounded else None)
     assert rows(direct, "submission_id", "comment_id", "keyword") == [
         ("1", "c1", "N/A"), ("1", "c1", "N/A"), ("2", "c2", "N/A"),
     ]

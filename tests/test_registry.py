@@ -53,7 +53,7 @@ def test_fixture_counts(spark, sf_dir):
         spark.createDataFrame([(k,) for k in KEYWORDS], schemas.KEYWORDS),
     )
     submissions = bronze.submissions_full(i.posts(), watch, CUTOFF, 30)
-    direct = bronze.comments_direct(submissions, i.comments(), watch, 30)
+    direct = ops.comments_direct(submissions, i.comments(), watch.post_bound(30))
     indirect = bronze.comments_indirect(i.posts(), i.comments(), watch, CUTOFF, 12)
     dedup = ops.dedup_comments(ops.union_comments(direct, indirect))
     clean = ops.drop_deleted(dedup)

@@ -69,7 +69,7 @@ def test_sizes(spark):
 
 def test_watch_list_bounds(spark):
     watch = WatchList.of(spark.range(3).select(F.col("id").cast("string")), spark.range(4).select(F.col("id").cast("string")))
-    assert (watch.post_bound(10), watch.submission_bound(10), watch.post_bound(None)) == (30, 120, None)
+    assert (watch.post_bound(10), watch.post_bound(None)) == (30, None)
 
 
 # --- snapshots

@@ -68,10 +68,10 @@ def with_sentiment(
 ) -> DataFrame:
     """`df` with the column `out`, the polarity of `text`. `keys` identify a
     row; rows that share them must share the text."""
-    if measure(lexicon)[0].rows <= max_inline_words:
-        entries = _entries(lexicon).collect()
-        if len({(e["polarity"], e["factor"]) for e in entries}) <= MAX_INLINE_VALUES:
-            return _score_in_place(df, text, entries, out)
+    entries = _entries(lexicon).limit(max_inline_words + 1).collect()
+    values = {(e["polarity"], e["factor"]) for e in entries}
+    if len(entries) <= max_inline_words and len(values) <= MAX_INLINE_VALUES:
+        return _score_in_place(df, text, entries, out)
     return _score_by_join(df, keys, text, lexicon, out)
 
 

@@ -28,18 +28,20 @@ def _bronze_comments(df: DataFrame, keyword: Column) -> DataFrame:
 
 
 def comments_direct(
-    submissions: DataFrame, comments: DataFrame, max_submissions: int | None = None
+    submissions: DataFrame, comments: DataFrame, max_posts: int | None = None
 ) -> DataFrame:
     """Every comment of each submissions row; a post stored under two keywords
     gives its comments twice.
 
-    Only post ids leave the submissions. `max_submissions`, a proven bound on
-    their number, lets them be broadcast, so a post with a large share of all
-    comments stays spread over the scan's tasks. Without it AQE splits it.
+    Only post ids and how often each is stored leave the submissions.
+    `max_posts`, a proven bound on the ids, lets them be broadcast, so a post
+    with a large share of all comments stays spread over the scan's tasks.
+    Without it AQE splits such a post.
     """
-    ids = submissions.select(F.col("id").alias("submission_id"))
-    joined = comments.join(broadcast_if(ids, max_submissions), "submission_id")
-    return _bronze_comments(joined, F.lit(NO_KEYWORD))
+    stored = submissions.groupBy(F.col("id").alias("submission_id")).agg(F.count("*").alias("_copies"))
+    joined = comments.join(broadcast_if(stored, max_posts), "submission_id")
+    copies = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
+    return _bronze_comments(joined.withColumn("_copy", F.explode(copies)), F.lit(NO_KEYWORD))
 
 
 def comments_indirect(

@@ -12,6 +12,7 @@ from tidewatch.operators.newest import (
     Posts,
     newest_index,
 )
+from tidewatch.sizes import broadcast_if
 from tidewatch.sources.watchlist import WatchList
 
 # Fixed value: posts and comments up to this time (2025-01-01 UTC) are skipped.
@@ -37,18 +38,6 @@ def submissions_incremental(
     return match_posts(posts, watch, n, latest)
 
 
-def comments_direct(
-    submissions: DataFrame,
-    comments: DataFrame,
-    watch: WatchList | None = None,
-    n: int | None = POSTS_PER_SUBREDDIT,
-) -> DataFrame:
-    """Comments of the submissions. Pass `watch` only if `submissions` holds no
-    more than one full match; merged tables grow beyond that bound."""
-    bound = watch.submission_bound(n) if watch else None
-    return comment_ops.comments_direct(submissions, comments, bound)
-
-
 def comments_indirect(
     posts: Posts,
     comments: DataFrame,
@@ -60,5 +49,5 @@ def comments_indirect(
     text is not read, nor need the post itself match or be recent."""
     listed = newest_index(posts, watch, n)
     names = watch.subreddits.withColumnRenamed("subreddits", "subreddit_name")
-    visited = listed.join(names, "subreddit_name")
+    visited = listed.join(broadcast_if(names, watch.n_subreddits), "subreddit_name")
     return comment_ops.comments_indirect(visited, comments, watch, cutoff, watch.post_bound(n))

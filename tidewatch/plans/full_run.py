@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.text import BASE_URL
 from tidewatch.functions.time import NEW_YORK
 from tidewatch.operators.changes import config_flags
+from tidewatch.operators.comments import comments_direct
 from tidewatch.operators.newest import COMMENT_POSTS_PER_SUBREDDIT, POSTS_PER_SUBREDDIT, Posts
 from tidewatch.plans import bronze, gold, silver
 from tidewatch.plans.decisions import has_updates, notify_action, refresh_action
@@ -79,10 +80,7 @@ def run_once(
     action = _refresh_submissions(spark, tables, posts, watch, both_same, settings)
     updates = spark.range(1).select(has_updates(F.lit(action))).first()[0]
     submissions = tables.read(SUBMISSIONS)
-    # A merged table can outgrow the bound of one full match.
-    fresh = watch if action in ("full", "rebuild") else None
-    n = settings.posts_per_subreddit
-    tables.overwrite(bronze.comments_direct(submissions, comments, fresh, n), DIRECT)
+    tables.overwrite(comments_direct(submissions, comments, max_posts=submissions.count()), DIRECT)
     tables.overwrite(
         bronze.comments_indirect(
             posts, comments, watch, settings.cutoff, settings.comment_posts_per_subreddit

@@ -42,10 +42,6 @@ class WatchList:
         """Most posts a newest-n selection can hold, or None if unbounded."""
         return None if n is None else self.n_subreddits * n
 
-    def submission_bound(self, n: int | None) -> int | None:
-        """Most (post, keyword) rows such a selection can give."""
-        return None if n is None else self.n_subreddits * n * self.keyword_size.rows
-
 
 def read_list(spark: SparkSession, path: str, column: str) -> DataFrame:
     """A headerless one-column CSV list under a fixed column name."""
