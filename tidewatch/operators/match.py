@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.newest import Posts, newest_posts
-from tidewatch.sources.watchlist import WatchList
+from tidewatch.sizes import broadcast_if
+from tidewatch.sources.watchlist import SEQUENCE, WatchList
 
 # Above this many keywords, testing each on each text costs more than finding
-# candidates by shared sequences.
-MAX_TESTED_KEYWORDS = 1_000
-GRAM = 3
+# candidates by shared sequences (measured: even at about 700).
+MAX_TESTED_KEYWORDS = 700
 
 
 def _any_contains(texts: list[Column], keyword: Column) -> Column:
@@ -38,7 +38,15 @@ def match_keywords(
     keyword in column `out`. `row_key` names a unique key of `df`."""
     if watch.keyword_size.broadcastable and watch.keyword_size.rows <= max_tested:
         return _match_broadcast(df, texts, watch.keywords, out)
-    return _match_by_grams(df, texts, watch, out, row_key)
+    if watch.short_keywords > max_tested:
+        return _match_by_sequence(df, texts, watch, watch.keywords, range(SEQUENCE + 1), out, row_key)
+    # Short keywords are few: test those, look up the others.
+    short = F.length(F.lower("keywords")) < SEQUENCE
+    sizes = range(SEQUENCE, SEQUENCE + 1)
+    found = _match_by_sequence(df, texts, watch, watch.keywords.where(~short), sizes, out, row_key)
+    if watch.short_keywords:
+        found = found.unionByName(_match_broadcast(df, texts, watch.keywords.where(short), out))
+    return found
 
 
 def _match_broadcast(df: DataFrame, texts: list[str], keywords: DataFrame, out: str) -> DataFrame:
@@ -49,7 +57,7 @@ def _match_broadcast(df: DataFrame, texts: list[str], keywords: DataFrame, out:
     return df.withColumns(folded).join(F.broadcast(words), hit).drop("_keyword", *folded)
 
 
-def _grams(text: Column, sizes: range) -> Column:
+def _sequences(text: Column, sizes: range) -> Column:
     """All character sequences of the given sizes in `text`, with repeats."""
     parts = [
         F.array(F.lit(""))
@@ -60,37 +68,54 @@ def _grams(text: Column, sizes: range) -> Column:
     return F.when(text.isNotNull(), F.concat(*parts)).otherwise(F.array().cast("array<string>"))
 
 
-def _match_by_grams(
-    df: DataFrame, texts: list[str], watch: WatchList, out: str, row_key: list[str]
+def _match_by_sequence(
+    df: DataFrame,
+    texts: list[str],
+    watch: WatchList,
+    keywords: DataFrame,
+    sizes: range,
+    out: str,
+    row_key: list[str],
 ) -> DataFrame:
-    sizes = range(min(watch.shortest_keyword, GRAM), GRAM + 1)
-    in_text = F.array_distinct(F.concat(*[_grams(F.lower(F.col(c)), sizes) for c in texts]))
-    text_grams = df.select(*row_key, F.explode(in_text).alias("gram"))
-
-    # Each keyword is looked up by its rarest sequence: the one fewest texts
-    # hold. Sequences no text holds drop out, and their keywords with them.
-    words = watch.keywords.where(F.col("keywords").isNotNull()).groupBy("keywords").agg(
-        F.count("*").alias("_copies")
+    """Texts and keywords meet on a sequence of SEQUENCE characters (or on the
+    whole of a shorter keyword); `sizes` are the lengths that can occur."""
+    words = (
+        keywords.where(F.col("keywords").isNotNull())
+        .groupBy("keywords")
+        .agg(F.count("*").alias("_copies"))
     )
     folded = F.lower("keywords")
-    own = F.when(F.length(folded) < GRAM, F.array(folded)).otherwise(
-        F.array_distinct(_grams(folded, range(GRAM, GRAM + 1)))
+    own = F.when(F.length(folded) < SEQUENCE, F.array(folded)).otherwise(
+        F.array_distinct(_sequences(folded, range(SEQUENCE, SEQUENCE + 1)))
     )
-    holders = text_grams.groupBy("gram").agg(F.count("*").alias("_texts"))
-    anchored = words.select("keywords", "_copies", F.explode(own).alias("gram"))
-    seen = anchored.join(holders, "gram", "left").withColumn("_texts", F.coalesce("_texts", F.lit(0)))
-    anchors = (
-        seen.groupBy("keywords", "_copies")
-        .agg(F.min(F.struct("_texts", "gram")).alias("_rarest"))
-        .where(F.col("_rarest._texts") > 0)
-        .select("keywords", "_copies", F.col("_rarest.gram").alias("gram"))
+    of_words = words.select("keywords", "_copies", F.explode(own).alias("sequence"))
+
+    # Only sequences some keyword holds leave the scan of the texts. There are
+    # no more of them than the keywords have bytes.
+    bound = watch.keyword_size.bytes if watch.keyword_size.broadcastable else None
+    wanted = of_words.select("sequence").distinct()
+    in_text = F.concat(*[_sequences(F.lower(F.col(c)), sizes) for c in texts])
+    of_texts = (
+        df.select(*row_key, F.explode(in_text).alias("sequence"))
+        .join(broadcast_if(wanted, bound), "sequence", "left_semi")
+        .distinct()
     )
 
-    candidates = text_grams.join(anchors, "gram").drop("gram").distinct()
+    # Each keyword is looked up by its rarest sequence, the one fewest texts
+    # hold. A keyword with a sequence that no text holds drops out.
+    holders = of_texts.groupBy("sequence").agg(F.count("*").alias("_texts"))
+    anchors = (
+        of_words.join(holders, "sequence", "left")
+        .groupBy("keywords", "_copies")
+        .agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("texts"), "sequence")).alias("_rarest"))
+        .where(F.col("_rarest.texts") > 0)
+        .select("keywords", "_copies", F.col("_rarest.sequence").alias("sequence"))
+    )
+    candidates = of_texts.join(anchors, "sequence").drop("sequence")
     verified = df.join(candidates, row_key).where(
         _any_contains([F.lower(F.col(c)) for c in texts], F.lower("keywords"))
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
     return verified.select(
         *[F.col(c) for c in df.columns], F.col("keywords").alias(out), copies.alias("_copy")
     ).drop("_copy")

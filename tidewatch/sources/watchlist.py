@@ -14,6 +14,10 @@ from tidewatch.sizes import Size, measure
 CONFIG_NAMES = ("subreddits", "keywords", "email")
 
 
+# Keywords shorter than this many characters count as short.
+SEQUENCE = 5
+
+
 @dataclass(frozen=True)
 class WatchList:
     """The two lists with their measured sizes.
@@ -26,17 +30,15 @@ class WatchList:
     keywords: DataFrame
     n_subreddits: int
     keyword_size: Size
-    shortest_keyword: int
+    short_keywords: int
 
     @classmethod
     def of(cls, subreddits: DataFrame, keywords: DataFrame) -> WatchList:
         subreddits = subreddits.select(F.col(subreddits.columns[0]).alias("subreddits"))
         keywords = keywords.select(F.col(keywords.columns[0]).alias("keywords"))
-        sub_size, size = measure(subreddits, keywords)
-        shortest = 0
-        if not size.broadcastable:
-            shortest = keywords.agg(F.min(F.length("keywords"))).first()[0] or 0
-        return cls(subreddits, keywords, sub_size.rows, size, shortest)
+        short = keywords.where(F.length(F.lower("keywords")) < SEQUENCE)
+        sub_size, size, short_size = measure(subreddits, keywords, short)
+        return cls(subreddits, keywords, sub_size.rows, size, short_size.rows)
 
     def post_bound(self, n: int | None) -> int | None:
         """Most posts a newest-n selection can hold, or None if unbounded."""
