@@ -14,7 +14,8 @@ from tidewatch.sources.watchlist import WatchList
 # Posts considered per community: for post matching and for comment matching.
 POSTS_PER_SUBREDDIT = 500
 COMMENT_POSTS_PER_SUBREDDIT = 200
-SALTS = 256
+# Width of the time spans in which posts are counted to find the newest N.
+SPAN_SECONDS = 86_400
 
 INDEX_COLUMNS = ("subreddit_name", "id", "created_utc", "num_comments", "upvote_ratio")
 CONTENT_COLUMNS = ("id", "title", "selftext", "permalink")
@@ -50,34 +51,55 @@ class Posts:
         return Posts(self.index.where(newer), self.content.where(newer) if has_time else self.content)
 
 
-def newest_index(posts: Posts, watch: WatchList, n: int | None, salts: int = SALTS) -> DataFrame:
+def newest_index(
+    posts: Posts, watch: WatchList, n: int | None, span_seconds: int = SPAN_SECONDS
+) -> DataFrame:
     """Index rows of the newest `n` posts per watched community; all if None.
 
-    Ties go to the smaller id. The limit is taken twice: within (community,
-    salt), where the salt is the scan partition, then within the community.
-    Each scan task keeps at most n rows per community, and no single task
-    ranks more than `salts` x n of them, however large one community is.
+    Ties go to the smaller id. Posts are first counted per community and span
+    of time, which combines before the shuffle however large one community
+    is. The counts tell the span in which a community's n-th newest post
+    lies, and only posts from that span on are ranked.
     """
     names = watch.subreddits.select(F.col("subreddits").alias("subreddit_name"))
-    index = posts.index.join(
-        broadcast_if(names, watch.n_subreddits), "subreddit_name", "left_semi"
+    watched = broadcast_if(names, watch.n_subreddits)
+    if n is None:
+        return posts.index.join(watched, "subreddit_name", "left_semi")
+
+    span = F.floor(F.col("created_utc") / span_seconds)
+    counts = (
+        posts.index.join(watched, "subreddit_name", "left_semi")
+        .groupBy("subreddit_name", span.alias("span"))
+        .agg(F.count("*").alias("n"))
+    )
+    newest_first = Window.partitionBy("subreddit_name").orderBy(F.col("span").desc())
+    first_span = (
+        counts.withColumn("upto", F.sum("n").over(newest_first))
+        .where(F.col("upto") >= n)
+        .groupBy("subreddit_name")
+        .agg(F.max("span").alias("first_span"))
+    )
+    # No first span: the community has fewer than n timed posts. All are kept.
+    bounds = broadcast_if(names.distinct().join(first_span, "subreddit_name", "left"), watch.n_subreddits)
+    recent = posts.index.join(bounds, "subreddit_name").where(
+        F.col("first_span").isNull() | (span >= F.col("first_span"))
+    )
+    order = Window.partitionBy("subreddit_name").orderBy(F.col("created_utc").desc(), F.col("id").asc())
+    return (
+        recent.withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= n)
+        .select(*posts.index.columns)
     )
-    if n is not None:
-        order = [F.col("created_utc").desc(), F.col("id").asc()]
-        salted = index.withColumn("_salt", F.spark_partition_id() % salts)
-        for part in (["subreddit_name", "_salt"], ["subreddit_name"]):
-            rank = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
-            salted = salted.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
-        index = salted.drop("_salt")
-    return index
 
 
-def newest_posts(posts: Posts, watch: WatchList, n: int | None, salts: int = SALTS) -> DataFrame:
+def newest_posts(
+    posts: Posts, watch: WatchList, n: int | None, span_seconds: int = SPAN_SECONDS
+) -> DataFrame:
     """Full rows of the newest `n` posts per watched community.
 
     A community listed twice gives its posts twice, as two visits would.
     """
-    index = newest_index(posts, watch, n, salts)
+    index = newest_index(posts, watch, n, span_seconds)
     names = watch.subreddits.select(F.col("subreddits").alias("subreddit_name"))
     index = index.join(broadcast_if(names, watch.n_subreddits), "subreddit_name")
     content = posts.content.drop("created_utc")
