@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from tidewatch import schemas
 from tidewatch.operators.match import match_posts
@@ -25,6 +26,12 @@ def read_post_stream(spark: SparkSession, path: str, max_files: int = 1000) -> D
     return spark.readStream.schema(schemas.POSTS).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
+def _one_per_post(batch: DataFrame) -> DataFrame:
+    """Of a post that arrived more than once, the version with most comments."""
+    latest = Window.partitionBy("id").orderBy(F.col("num_comments").desc(), "title", "selftext")
+    return batch.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
+
+
 def follow_posts(
     posts: DataFrame,
     tables: SnapshotTables,
@@ -37,7 +44,7 @@ def follow_posts(
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         staging = f"{table}_batch"
-        matched = match_posts(Posts.of(batch.dropDuplicates(["id"])), watch, None, cutoff)
+        matched = match_posts(Posts.of(_one_per_post(batch)), watch, None, cutoff)
         tables.overwrite(matched, staging)
         arrived = tables.read(staging)
         if not tables.exists(table):
