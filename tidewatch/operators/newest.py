@@ -73,15 +73,13 @@ def newest_index(
         .agg(F.count("*").alias("n"))
     )
     newest_first = Window.partitionBy("subreddit_name").orderBy(F.col("span").desc())
-    first_span = (
+    # No first span: the community has fewer than n posts. All are kept.
+    bounds = (
         counts.withColumn("upto", F.sum("n").over(newest_first))
-        .where(F.col("upto") >= n)
         .groupBy("subreddit_name")
-        .agg(F.max("span").alias("first_span"))
+        .agg(F.max(F.when(F.col("upto") >= n, F.col("span"))).alias("first_span"))
     )
-    # No first span: the community has fewer than n timed posts. All are kept.
-    bounds = broadcast_if(names.distinct().join(first_span, "subreddit_name", "left"), watch.n_subreddits)
-    recent = posts.index.join(bounds, "subreddit_name").where(
+    recent = posts.index.join(broadcast_if(bounds, watch.n_subreddits), "subreddit_name").where(
         F.col("first_span").isNull() | (span >= F.col("first_span"))
     )
     order = Window.partitionBy("subreddit_name").orderBy(F.col("created_utc").desc(), F.col("id").asc())
