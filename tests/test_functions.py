@@ -8,7 +8,7 @@ from pyspark.sql.types import (
     StructField, StructType, TimestampNTZType, TimestampType,
 )
 
-from helpers import plan, rows
+from helpers import plan
 from tidewatch.functions.sentiment import with_sentiment
 from tidewatch.functions.sqltypes import column_types, create_table, sql_type
 from tidewatch.functions.text import escape_html, full_url
@@ -84,6 +84,11 @@ def test_word_listed_twice_has_the_mean(spark, inline):
     assert score(spark, ["good x good"], [("good", 0.5), ("good", 1.0)], max_inline_words=inline) == [0.75]
 
 
+@pytest.mark.parametrize("inline", [20_000, 0])
+def test_words_are_case_folded_and_null_words_ignored(spark, inline):
+    assert score(spark, ["good"], [("Good", 0.5), (None, 1.0)], max_inline_words=inline) == [0.5]
+
+
 MODIFIERS = [
     ("good", 0.5, None, None), ("great", 0.9, False, None), ("bad", -0.6, None, None),
     ("very", 0.2, None, 1.5), ("not", None, True, None),

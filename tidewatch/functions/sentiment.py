@@ -31,7 +31,7 @@ MAX_INLINE_VALUES = 500
 
 
 def _entries(lexicon: DataFrame) -> DataFrame:
-    """One row per word: its polarity (NULL for a mere modifier) and the
+    """One row per word, case folded: its polarity (NULL for a mere modifier) and the
     factor it puts on the next word (NULL for none)."""
     factor = F.lit(None).cast("double")
     if {"is_negation", "intensity"} <= set(lexicon.columns):
@@ -41,7 +41,8 @@ def _entries(lexicon: DataFrame) -> DataFrame:
             negated | intensity.isNotNull(),
             F.coalesce(intensity, F.lit(1.0)) * F.when(negated, NEGATION_FACTOR).otherwise(1.0),
         )
-    return lexicon.groupBy("word").agg(F.avg("polarity").alias("polarity"), factor.alias("factor"))
+    words = lexicon.where(F.col("word").isNotNull()).withColumn("word", F.lower("word"))
+    return words.groupBy("word").agg(F.avg("polarity").alias("polarity"), factor.alias("factor"))
 
 
 def _tokens(text: str) -> Column:
