@@ -89,6 +89,12 @@ def test_words_are_case_folded_and_null_words_ignored(spark, inline):
     assert score(spark, ["good"], [("Good", 0.5), (None, 1.0)], max_inline_words=inline) == [0.5]
 
 
+@pytest.mark.parametrize("inline", [20_000, 0])
+def test_odd_words_do_no_harm(spark, inline):
+    lexicon = [("it's", 0.5), ("back\\slash", 0.1), ("') or true --", 0.2), ("good", 1e-7), ("bad", -1e-5)]
+    assert score(spark, ["good bad it's"], lexicon, max_inline_words=inline) == [-5e-06]
+
+
 MODIFIERS = [
     ("good", 0.5, None, None), ("great", 0.9, False, None), ("bad", -0.6, None, None),
     ("very", 0.2, None, 1.5), ("not", None, True, None),

@@ -76,41 +76,43 @@ def with_sentiment(
     return _score_by_join(df, keys, text, lexicon, out)
 
 
-def _lookup(token: Column, entries: list, column: str) -> Column:
-    """The value of `column` for a token, NULL if it has none.
+def _word_set(words: list[str]) -> str:
+    quoted = (word.replace("\\", "\\\\").replace("'", "\\'") for word in words)
+    return "(" + ", ".join(f"'{word}'" for word in quoted) + ")"
+
+
+def _lookup(entries: list, column: str) -> tuple[str, str]:
+    """SQL for whether token `t` has a value of `column`, and for the value.
 
     Words of equal value form one set, so that a lookup is a few hash probes,
-    and only one for a token that is not in the list.
+    and only one for a token that is not in the list. The text form is parsed
+    at once, where thousands of literals would be handed over one by one.
     """
-    known = sorted(((e[column], e["word"]) for e in entries if e[column] is not None))
+    known = sorted((e[column], e["word"]) for e in entries if e[column] is not None)
     if not known:
-        return F.lit(None).cast("double")
-    chosen = F
-    for value, words in groupby(known, key=lambda e: e[0]):
-        chosen = chosen.when(token.isin([word for _, word in words]), F.lit(float(value)))
-    return F.when(token.isin([word for _, word in known]), chosen)
+        return "false", "cast(null as double)"
+    cases = " ".join(
+        f"when t in {_word_set([word for _, word in words])} then {float(value)!r}D"
+        for value, words in groupby(known, key=lambda e: e[0])
+    )
+    found = f"t in {_word_set([word for _, word in known])}"
+    return found, f"if({found}, case {cases} end, null)"
 
 
 def _score_in_place(df: DataFrame, text: str, entries: list, out: str) -> DataFrame:
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("total"),
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(None).cast("double").alias("factor"),
+    hit, polarity = _lookup(entries, "polarity")
+    _, factor = _lookup(entries, "factor")
+    scaled = f"greatest(-1D, least(1D, {polarity} * coalesce(seen.factor, 1D)))"
+    score = F.expr(
+        f"""aggregate(_tokens,
+          named_struct('total', 0L, 'n', 0L, 'factor', cast(null as double)),
+          (seen, t) -> named_struct(
+            'total', seen.total + if({hit}, cast(round({scaled} * {UNIT}) as bigint), 0L),
+            'n', seen.n + if({hit}, 1L, 0L),
+            'factor', {factor}),
+          seen -> if(seen.n > 0, round(seen.total / cast(seen.n * {UNIT}L as double), 6) + 0D, 0D))"""
     )
-
-    def add(seen: Column, token: Column) -> Column:
-        units = _units(_lookup(token, entries, "polarity"), seen["factor"])
-        hit = token.isin([e["word"] for e in entries if e["polarity"] is not None])
-        return F.struct(
-            (seen["total"] + F.when(hit, units).otherwise(F.lit(0))).alias("total"),
-            (seen["n"] + F.when(hit, 1).otherwise(0)).alias("n"),
-            _lookup(token, entries, "factor").alias("factor"),
-        )
-
-    def finish(seen: Column) -> Column:
-        return F.when(seen["n"] > 0, _mean(seen["total"], seen["n"])).otherwise(0.0)
-
-    return df.withColumn(out, F.aggregate(_tokens(text), start, add, finish))
+    return df.withColumn("_tokens", _tokens(text)).withColumn(out, score).drop("_tokens")
 
 
 def _score_by_join(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame, out: str) -> DataFrame:
