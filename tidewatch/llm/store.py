@@ -1,0 +1,19 @@
+"""Cutting a lineage in the folder all executors share."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tidewatch.session import scratch_dir
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """`df`, computed once and written below `spark.checkpoint.dir`.
+
+    The files are in a folder that outlives any executor. Only where that
+    setting is missing (tests on one machine) is a folder of our own set.
+    """
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
+    return df.checkpoint(eager=True)
