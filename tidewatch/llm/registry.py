@@ -2,16 +2,39 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup
+from tidewatch.llm import decontaminate, exact_dedup, license_scan, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The rules of the contract: host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+TOKENIZER = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.license_scan(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id").drop("matches")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.url_filter(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -31,9 +54,19 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return counts.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_url_filter": op2_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_token_counts": op9_token_counts,
 }
 
 LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -44,4 +77,31 @@ ORACLE_SQL = {
         select doc_id, max(doc_id) over g keep_id, count(*) over g group_size,
                doc_id = max(doc_id) over g kept, text_sha256
         from t window g as (partition by text_sha256)""",
+    "op2_url_filter": """
+        with p as (select page_id, case when position('://' in coalesce(url, '')) > 0
+                     then substr(url, position('://' in url) + 3) else '' end rest from pages),
+        h as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from p),
+        r(rhost, rpath, rverdict) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+            ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        j as (select page_id, host, path, rhost || rpath rule, rverdict,
+                row_number() over (partition by page_id order by length(rhost || rpath) desc nulls last) n
+              from h left join r on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath))
+        select page_id, host, path, rule, coalesce(rverdict, 'allow') verdict from j where n = 1""",
+    "op8_decontamination": r"""
+        with d as (select doc_id, regexp_extract_all({d}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from documents),
+        b as (select item_id, regexp_extract_all({d}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from benchmark),
+        bw as (select item_id, ws, least(10, len(ws)) m from b where len(ws) > 0),
+        win as (select distinct item_id, m, array_to_string(ws[i : i + m - 1], ' ') g
+                from (select item_id, ws, m, unnest(range(1, len(ws) - m + 2)) i from bw)),
+        sizes as (select distinct m from win),
+        grams as (select doc_id, m, i, array_to_string(ws[i : i + m - 1], ' ') g
+                  from (select doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) i from d, sizes where len(ws) >= m)),
+        occ as (select doc_id, i, grams.m, item_id from grams join win on grams.m = win.m and grams.g = win.g),
+        hits as (select doc_id, count(distinct p) n from (select doc_id, unnest(range(i, i + m)) p from occ) group by 1),
+        its as (select doc_id, count(*) n, string_agg(x, ',' order by x) ids
+                from (select distinct doc_id, item_id::varchar x from occ) group by 1)
+        select d.doc_id, len(ws) n_words, coalesce(hits.n, 0) n_hit, coalesce(its.n, 0) n_items,
+               sha256(coalesce(ids, '')) items_sha256, hits.n is not null contaminated
+        from d left join hits using (doc_id) left join its using (doc_id)""".replace("{d}", LOWER.format("text")),
 }
