@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup, license_scan, token_counts, url_filter
+from tidewatch.llm import decontaminate, exact_dedup, license_scan, sentencepieces, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentencepieces.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -65,6 +70,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }
