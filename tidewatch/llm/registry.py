@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup, license_scan, sentencepieces, token_counts, url_filter
+from tidewatch.llm import decontaminate, exact_dedup, license_scan, quality, sentencepieces, token_counts, toxicity, url_filter
+
+from tidewatch.llm.labels import remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,27 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.trained(docs, table(spark, sf_dir, "labels"))
+    return judged(quality.quality(docs, model), quality.PARTS, quality.HELD_OUT, quality.KEEP)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return judged(toxicity.toxicity(docs, machine), toxicity.PARTS, toxicity.HELD_OUT, 0.5)
+
+
+def judged(scores: DataFrame, parts: int, held_out: int, threshold: float) -> DataFrame:
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        (remainder("id", parts) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -71,6 +94,8 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }
