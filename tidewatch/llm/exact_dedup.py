@@ -162,10 +162,10 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = copy_groups(docs, id_col, text_col, largest)
     kept = groups.groupBy("id", "raw").agg(F.max("keep").alias("keep"), F.count("*").alias("times"))
     kept = cut(kept.where("not keep or times > 1"))
-    return _less(docs, kept, id_col, text_col)
+    return less(docs, kept, id_col, text_col)
 
 
-def _less(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def less(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """`docs` without the rows marked `keep` = false; rows marked `times` > 1 once."""
     mark = marks.select(*(F.col(c).alias(f"_mark_{c}") for c in ("id", "raw", "keep", "times")))
     raw = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))

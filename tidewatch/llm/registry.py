@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup, license_scan, quality, sentencepieces, token_counts, toxicity, url_filter
+from tidewatch.llm import decontaminate, exact_dedup, license_scan, near_copies, quality, sentencepieces, token_counts, toxicity, url_filter
 
 from tidewatch.llm.labels import remainder
 
@@ -89,6 +89,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_copies.near_copies(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
@@ -98,6 +103,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
