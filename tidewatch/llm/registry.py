@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup, license_scan, near_copies, quality, sentencepieces, token_counts, toxicity, url_filter
+from tidewatch.llm import decontaminate, exact_dedup, license_scan, near_copies, quality, sentencepieces, substring_dedup, token_counts, toxicity, url_filter
 
 from tidewatch.llm.labels import remainder
 
@@ -37,6 +37,14 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("other_id").alias("other_doc_id"), "start", "stop", "other_start", "other_stop",
+        "functions",
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -97,6 +105,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality": op6_quality,
