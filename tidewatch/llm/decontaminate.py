@@ -240,17 +240,21 @@ def decontaminated(
     window: int = WINDOW,
     max_coverage: float = 0.5,
     text_col: str = "text",
+    size_col: str | None = None,
 ) -> DataFrame:
     """`docs` without the hit spans; documents of which more than
     `max_coverage` of the words are hit go. All columns are kept; texts that
-    are not hit stay as they are, byte for byte.
+    are not hit stay as they are, byte for byte. `size_col`, if `docs` has a
+    numeric column of that name, gets the characters of a text that was cut.
 
-    A span is cut from the start of its first word to the end of its last.
+    A span is cut from the start of its first word to the end of its last. A
+    null text has no words and stays null.
     """
     made = automata(benchmark, window)
     schema = docs.schema
     arrow = arrow_schema(schema)
     at = docs.columns.index(text_col)
+    size_at = docs.columns.index(size_col) if size_col in docs.columns else None
 
     def cleaned(batch: pa.RecordBatch):
         for low, high, texts in slices(batch, text_col):
@@ -263,9 +267,14 @@ def decontaminated(
                 summed = np.concatenate([[0], np.cumsum(hit)])
                 share = np.diff(summed[words.bounds]) / np.maximum(1, words.counts)
                 new = part.column(at).to_pylist()
+                sizes = part.column(size_at).to_pylist() if size_at is not None else []
                 for i in np.flatnonzero(share > 0):
                     new[i] = _without(texts[i], words, i, hit)
+                    if size_at is not None:
+                        sizes[i] = len(new[i])
                 part = part.set_column(at, arrow.field(at), pa.array(new, arrow.field(at).type))
+                if size_at is not None:
+                    part = part.set_column(size_at, arrow.field(size_at), pa.array(sizes, arrow.field(size_at).type))
                 part = part.filter(pa.array(share <= max_coverage))
             yield part
 
