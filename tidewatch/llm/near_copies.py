@@ -269,7 +269,8 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness(), id_col: str = "doc
     nodes = sets.groupBy("h1", "h2", "n").agg(F.min("id").alias("node"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     whole = components(links)
     named = rows.select("id", "raw", "n", "h1", "h2").join(nodes, ["h1", "h2", "n"], "left")
-    named = named.withColumn("node", F.when(F.col("n") > 0, F.coalesce("node", "id")).otherwise(F.col("id")))
+    own = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("node", "id")).otherwise(F.col("id"))
+    named = named.withColumn("node", own)
     return named.join(broadcast_if(whole, whole.count()), "node", "left").select(
         "id", "raw", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component")
     )
