@@ -106,7 +106,13 @@ MODIFIER_SCHEMA = "word string, polarity double, is_negation boolean, intensity
 def test_negation_and_intensity_scale_the_next_word(spark, inline):
     texts = ["not good", "not x good", "very bad", "very great", "not", "bad not bad"]
     got = score(spark, texts, MODIFIERS, MODIFIER_SCHEMA, max_inline_words=inline)
-    assert got == [-0.25, 0.5, -0.35, 0.6, 0.0, -0.15]
+    assert got == [-0.25, 0.5, -0.35, 0.775, 0.0, -0.15]
+
+
+@pytest.mark.parametrize("inline", [20_000, 0])
+def test_polarities_of_any_scale_are_kept(spark, inline):
+    lexicon = [("great", 3.0), ("bad", -2.0)]
+    assert score(spark, ["great great bad", "bad"], lexicon, max_inline_words=inline) == [1.333333, -2.0]
 
 
 def test_both_routes_agree(spark):

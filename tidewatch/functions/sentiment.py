@@ -6,9 +6,12 @@ scores the mean polarity of its tokens found in the list, 0.0 if none is
 found, NULL if the text is NULL. A word listed twice has the mean of its
 entries.
 
-A list of usual size is folded into one expression over the tokens, so that
-scoring is part of the scan: no shuffle, no second read of the texts. A list
-too long for that is joined to the tokens instead. Both give the same scores.
+Polarities may have any scale; nothing is cut to a range.
+
+A short list is folded into one expression over the tokens, so that scoring is
+part of the scan: no shuffle, no second read of the texts. Its cost grows with
+the list, so a longer one is joined to the tokens instead. Both give the same
+scores.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ NEGATION_FACTOR = -0.5
 # on the order in which partial sums meet.
 UNIT = 1_000_000_000
 
-MAX_INLINE_WORDS = 20_000
-MAX_INLINE_VALUES = 500
+# Measured break-even, about: beyond it the join is faster (README).
+MAX_INLINE_WORDS = 100
+MAX_INLINE_VALUES = 50
 
 
 def _entries(lexicon: DataFrame) -> DataFrame:
@@ -50,9 +54,8 @@ def _tokens(text: str) -> Column:
 
 
 def _units(polarity: Column, factor: Column) -> Column:
-    """Polarity times factor within -1..1, in whole units."""
-    scaled = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), polarity * F.coalesce(factor, F.lit(1.0))))
-    return F.round(scaled * UNIT).cast("bigint")
+    """Polarity times factor in whole units."""
+    return F.round(polarity * F.coalesce(factor, F.lit(1.0)) * UNIT).cast("bigint")
 
 
 def _mean(total: Column, n: Column) -> Column:
@@ -102,7 +105,7 @@ def _lookup(entries: list, column: str) -> tuple[str, str]:
 def _score_in_place(df: DataFrame, text: str, entries: list, out: str) -> DataFrame:
     hit, polarity = _lookup(entries, "polarity")
     _, factor = _lookup(entries, "factor")
-    scaled = f"greatest(-1D, least(1D, {polarity} * coalesce(seen.factor, 1D)))"
+    scaled = f"{polarity} * coalesce(seen.factor, 1D)"
     score = F.expr(
         f"""aggregate(_tokens,
           named_struct('total', 0L, 'n', 0L, 'factor', cast(null as double)),
@@ -126,7 +129,10 @@ def _score_by_join(df: DataFrame, keys: list[str], text: str, lexicon: DataFrame
     if fits:
         polarities, factors = F.broadcast(polarities), F.broadcast(factors)
 
-    before = F.concat(F.array(F.lit(None).cast("string")), "_tokens")
+    # Before the first token stands a text that is no token and differs from
+    # row to row, so that it is no frequent key of the join.
+    none = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string"))
+    before = F.concat(F.array(none), "_tokens")
     words = df.select(*keys, _tokens(text).alias("_tokens")).select(
         *keys, F.inline(F.arrays_zip(F.col("_tokens").alias("word"), before.alias("before")))
     )

@@ -10,11 +10,6 @@ DELETED_MARKER = "[deleted]"
 BASE_URL = "https://www.reddit.com"
 
 
-def contains_folded(text: Column, keyword: Column) -> Column:
-    """Case-folded substring test; not word-bounded, NULL gives NULL."""
-    return F.contains(F.lower(text), F.lower(keyword))
-
-
 def not_deleted(text: Column, marker: str = DELETED_MARKER) -> Column:
     """True for text without the marker; NULL text gives NULL, so it is dropped."""
     return ~text.contains(marker)
