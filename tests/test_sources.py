@@ -9,7 +9,7 @@ from tidewatch.session import scratch_dir
 from tidewatch.sources import jdbc, tables
 from tidewatch.sources.snapshots import SnapshotTables
 from tidewatch.sources.watchlist import (
-    WatchList, first_recipient, read_csv_raw, read_list, select_config_files, write_list,
+    WatchList, first_recipient, read_csv_raw, read_list, read_stored_list, select_config_files, write_list,
 )
 from tidewatch.sizes import MAX_BROADCAST_ROWS, broadcast_if, measure
 
@@ -27,11 +27,11 @@ def store(spark, root):
 
 
 def test_lists_round_trip_with_commas_and_quotes(spark, root):
-    values = ["plain", "with, comma", "with \"quotes\"", "über"]
+    values = ["plain", "with, comma", "with \"quotes\"", "über", " blanks  ", "", None, "two\nlines", "\\", "a\\", '"', "''"]
     write_list(spark.createDataFrame([(v,) for v in values], "x string"), f"{root}/l")
-    assert rows(read_list(spark, f"{root}/l", "keywords")) == sorted([(v,) for v in values], key=repr)
+    assert rows(read_stored_list(spark, f"{root}/l", "keywords")) == sorted([(v,) for v in values], key=repr)
     raw = read_csv_raw(spark, f"{root}/l")
-    assert raw.columns == ["_c0"] and raw.count() == 4
+    assert raw.columns == ["_c0"]
 
 
 def test_headerless_files_keep_their_first_line(spark, root):
@@ -51,9 +51,18 @@ def test_config_files_are_selected_by_name_and_not_trashed(spark):
     assert rows(select_config_files(files), "name") == [("email",), ("keywords",), ("subreddits",)]
 
 
-def test_first_recipient_is_definite(spark):
-    df = spark.createDataFrame([("b@x",), (None,), ("a@x",)], "_c0 string").repartition(3)
-    assert rows(first_recipient(df)) == [("a@x",)]
+def test_first_recipient_is_the_first_of_the_file(spark, root):
+    spark.createDataFrame([(None,), ("b@x",), ("a@x",)], "_c0 string").coalesce(1).write.csv(f"{root}/email")
+    assert rows(first_recipient(read_csv_raw(spark, f"{root}/email"))) == [("b@x",)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "local-cluster[2,1,1024]"})
+
+    with pytest.raises(RuntimeError):
+        scratch_dir(Cluster())
 
 
 def test_sizes(spark):

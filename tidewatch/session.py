@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the jobs are written for. All are Spark's own; the
 # cluster may override any of them.
@@ -38,9 +38,21 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     """A new folder name for intermediate tables.
 
     It lies below `spark.checkpoint.dir`, the folder all executors share. Only
-    where that is unset (tests on one machine) is a local folder made.
+    where that is unset and Spark runs on one machine is a local folder made.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/tidewatch-{label}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if not master.startswith("local[") and master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"tidewatch-{label}-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """`df`, computed once and written below `spark.checkpoint.dir`, where the
+    files outlive any executor."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
+    return df.checkpoint(eager=True)

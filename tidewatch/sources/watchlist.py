@@ -56,9 +56,31 @@ def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", False).csv(path)
 
 
+# Lists as `write_list` stores them: every value quoted, blanks and line breaks
+# kept, NULL told from an empty line by a mark.
+STORED_LIST = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\\N",
+    "emptyValue": "",
+}
+
+
 def write_list(df: DataFrame, path: str) -> None:
-    """Replace the CSV list at `path`, which must not be what `df` reads."""
-    df.write.mode("overwrite").csv(path)
+    """Replace the CSV list at `path`, which must not be what `df` reads.
+
+    `read_stored_list` gives back the same lines. Only the text \\N, the mark
+    of NULL, cannot be a line.
+    """
+    df.write.mode("overwrite").options(**STORED_LIST, quoteAll=True).csv(path)
+
+
+def read_stored_list(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """A list written by `write_list`, under a fixed column name."""
+    schema = schemas.StructType([schemas.StructField(column, schemas.StringType(), True)])
+    return spark.read.schema(schema).options(**STORED_LIST, multiLine=True).csv(path)
 
 
 def select_config_files(files: DataFrame, names: tuple[str, ...] = CONFIG_NAMES) -> DataFrame:
@@ -67,6 +89,10 @@ def select_config_files(files: DataFrame, names: tuple[str, ...] = CONFIG_NAMES)
 
 
 def first_recipient(email: DataFrame) -> DataFrame:
-    """The recipient: the first address of the list, made definite by order."""
+    """The recipient: the first address of the list, in the order of its file.
+
+    The list is one small file; of several, the first one read counts.
+    """
     column = F.col(email.columns[0])
-    return email.select(column.alias("recipient")).where(column.isNotNull()).orderBy("recipient").limit(1)
+    placed = email.select(column.alias("recipient"), F.monotonically_increasing_id().alias("place"))
+    return placed.where(F.col("recipient").isNotNull()).orderBy("place").limit(1).select("recipient")
