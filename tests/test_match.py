@@ -190,3 +190,34 @@ def test_keyword_threshold_is_a_size_check(spark):
     watch = watch_list(spark, ["a"], ["k"] * (match.MAX_TESTED_KEYWORDS + 1))
     texts = posts_of(spark, [post("1", title="k")]).content
     assert "NestedLoop" not in plan(match_keywords(texts, ["title"], watch, "key", ["id"]))
+
+
+def test_text_of_old_posts_is_not_shuffled_for_many_communities(spark, root):
+    from tidewatch.operators.newest import Posts, newest_posts
+
+    data = [post(str(i), title="k", at=float(i)) for i in range(20)]
+    spark.createDataFrame(data, "subreddit_name string, id string, title string, permalink string, "
+                          "num_comments int, selftext string, created_utc double, upvote_ratio double"
+                          ).write.parquet(f"{root}/many")
+    posts = Posts.of(spark.read.parquet(f"{root}/many"))
+    watch = watch_list(spark, ["a", *(f"s{i}" for i in range(1100))], ["k"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(newest_posts(posts, watch, 500, 5))
+        whole = plan(newest_posts(posts, watch, None))
+        assert {r["id"] for r in newest_posts(posts, watch, 500, 5).collect()} == {str(i) for i in range(20)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    scan = next(at for at, x in enumerate(lines) if "FileScan" in x and "selftext" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    above, level = [], depth(lines[scan])
+    for x in reversed(lines[:scan]):
+        if depth(x) < level:
+            above.append(x)
+            level = depth(x)
+    # Nearest first: the bounds are joined and filtered before any exchange.
+    kinds = [x.split("(")[0] for x in above]
+    joined = next(at for at, x in enumerate(above) if "BroadcastHashJoin" in x)
+    assert not any("Exchange" in x for x in kinds[:joined])
+    assert whole.count("FileScan") == 1

@@ -99,12 +99,38 @@ def test_bounded_merge_does_not_shuffle_the_target(spark, root):
     lines = text.splitlines()
     for at, line in enumerate(lines):
         if "FileScan" in line and "v#" in line and f"{root}/t" in line:
-            depth = len(line) - len(line.lstrip(" :+-"))
-            above = [x for x in lines[:at] if len(x) - len(x.lstrip(" :+-")) < depth]
-            assert not any("Exchange hashpartitioning" in x for x in above)
+            above, level = [], len(line) - len(line.lstrip(" :+-"))
+            for x in reversed(lines[:at]):
+                if len(x) - len(x.lstrip(" :+-")) < level:
+                    above.append(x)
+                    level = len(x) - len(x.lstrip(" :+-"))
+            # Nothing leaves the scan before it has met the broadcast keys.
+            joined = next(i for i, x in enumerate(above) if "BroadcastHashJoin" in x)
+            assert not any("Exchange" in x for x in above[:joined])
 
 
 def test_new_rows_by_key_nulls_equal(spark):
     current = frame(spark, [("1", "a", 1, "x"), ("2", None, 1, "x"), ("3", None, 1, "x")])
     previous = frame(spark, [("1", "a", 0, "y"), ("2", None, 1, "x"), ("9", "a", 1, "x")])
     assert rows(new_rows(current, previous, ["id", "key"]), "id") == [("3",)]
+
+
+def test_merge_broadcasts_keys_only(spark, root):
+    frame(spark, [("1", "a", 1, "x"), ("2", "a", 1, "y")]).write.parquet(f"{root}/t2")
+    frame(spark, [("2", "a", 1, "z")]).write.parquet(f"{root}/s2")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(merge_upsert(spark.read.parquet(f"{root}/t2"), spark.read.parquet(f"{root}/s2"), ["id", "key"], False, 10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    for at, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = []
+            for x in lines[at + 1 :]:
+                if depth(x) <= depth(line):
+                    break
+                below.append(x)
+            assert not any("FileScan" in x and "v#" in x for x in below)
+    assert "Window" not in text

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidewatch.sizes import broadcast_if
 
@@ -30,35 +29,34 @@ def merge_upsert(
     """Target rows, replaced where a source row with their key differs, plus
     the source rows whose key the target lacks.
 
-    Raises, when run, if two source rows match one target row. With a proven
-    bound `max_source` on the source rows the target is not shuffled: it is
-    scanned once by key and once in full against the broadcast source.
+    Raises, when run, if two source rows match one target row. Only keys meet
+    all of the target: with a proven bound `max_source` on the source rows they
+    are broadcast, and the target is not shuffled. The target rows whose key the
+    source has are then joined to the source rows.
     """
     columns = target.columns
     values = [c for c in columns if c not in keys]
-    # Number the copies of a key; a second copy that meets a target is an error.
-    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    renamed = source.withColumn("_copy", copy).select(
-        *[F.col(c).alias(_SRC + c) for c in columns], "_copy", F.lit(True).alias("_in_source")
-    )
-    same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(_SRC + k) for k in keys])
-    changed = differs([(F.col(c), F.col(_SRC + c)) for c in values], null_safe)
+    # One row per key, however many copies the source has of it.
+    wanted = broadcast_if(source.groupBy(*keys).agg(F.count("*").alias("_copies")), max_source)
+    # The test names a target column, so that it cannot be moved to where the
+    # copies are counted and raise for a key that the target lacks.
+    met = F.length(F.concat_ws("", *[F.col(k).cast("string") for k in keys])) >= 0
     unambiguous = F.when(
-        F.col("_in_target") & (F.col("_copy") > 1),
+        (F.col("_copies") > 1) & met,
         F.raise_error(F.lit("merge: two source rows match one target row")).cast("boolean"),
     ).otherwise(True)
-    take_source = F.col("_in_target").isNull() | (F.col("_in_source").isNotNull() & changed)
-    merged = [F.when(take_source, F.col(_SRC + c)).otherwise(F.col(c)).alias(c) for c in columns]
-    marked = target.withColumn("_in_target", F.lit(True))
-
-    if max_source is None:
-        return marked.join(renamed, same_key, "full_outer").where(unambiguous).select(*merged)
+    renamed = source.select(*[F.col(c).alias(_SRC + c) for c in columns])
+    same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(_SRC + k) for k in keys])
+    changed = differs([(F.col(c), F.col(_SRC + c)) for c in values], null_safe)
 
-    old = marked.join(broadcast_if(renamed, max_source), same_key, "left").where(unambiguous).select(*merged)
-    new = source.select(*columns).join(
-        broadcast_if(matched_keys(target, source, keys, max_source).distinct(), max_source), keys, "left_anti"
+    untouched = target.join(wanted, keys, "left_anti")
+    matched = target.join(wanted, keys).where(unambiguous)
+    merged = matched.join(renamed, same_key).select(
+        *[F.when(changed, F.col(_SRC + c)).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    return old.unionByName(new)
+    stored = broadcast_if(matched_keys(target, source, keys, max_source).distinct(), max_source)
+    new = source.select(*columns).join(stored, keys, "left_anti")
+    return untouched.select(*columns).unionByName(merged).unionByName(new.select(*columns))
 
 
 def matched_keys(
