@@ -71,23 +71,32 @@ def recipient(spark):
 
 
 def test_digest_of_one_page(spark):
-    out = digest("update", recipient(spark), submissions(spark, 3), 2, comments(spark, 1), 1)
+    out = digest(
+        "update", recipient(spark), submissions(spark, 3), 2, comments(spark, 1), 1,
+        report_url="https://example.org/r",
+    )
     assert out.columns == ["recipient", "subject", "page", "html", "post_count", "comment_count"]
     (row,) = out.collect()
     assert (row["recipient"], row["subject"], row["page"], row["post_count"], row["comment_count"]) == (
-        "me@example.org", "New update", 0, 2, 1,
+        "me@example.org", "Watch list news", 0, 2, 1,
     )
     assert row["html"] == (
-        "<h3>Hello me@example.org,</h3><br/><br>New updates are available <br><br>"
-        "New posts with keyword: 2 <br><br>New comments with keyword: 1 <br><br>"
-        "New posts: <br> &lt;t2&gt;<br>&lt;t1&gt; <br><br>New comments: <br> body 0 &amp; more <br><br>"
-        'Follow the link to view the latest <a href="https://www.google.com/">Power BI report</a>'
+        "<p>To me@example.org</p><p>Since the last digest: 2 posts, 1 comments.</p>"
+        "<h4>Posts</h4>&lt;t2&gt;<br>&lt;t1&gt;<h4>Comments</h4>body 0 &amp; more"
+        '<p><a href="https://example.org/r">Report</a></p>'
     )
 
 
 def test_first_digest_has_no_counts(spark):
     (row,) = digest("first", recipient(spark), submissions(spark, 0), 0, comments(spark, 0), 0).collect()
-    assert "First update" in row["html"] and "New posts: <br>  <br><br>" in row["html"]
+    assert row["page"] == 0 and "first digest" in row["html"]
+    assert row["html"].endswith("<h4>Posts</h4><h4>Comments</h4>")
+
+
+@pytest.mark.parametrize("n, pages", [(0, 1), (1, 1), (10, 1), (11, 2), (20, 2), (21, 3)])
+def test_digest_pages_are_dense(spark, n, pages):
+    out = digest("update", recipient(spark), submissions(spark, 30), n, comments(spark, 0), 0, page_lines=10)
+    assert sorted(r["page"] for r in out.collect()) == list(range(pages))
 
 
 @pytest.mark.parametrize("page_lines", [4, 10, 1000])
@@ -97,7 +106,7 @@ def test_long_digest_loses_no_line(spark, page_lines):
         page_lines=page_lines,
     )
     pages = out.orderBy("page").collect()
-    assert len({p["page"] for p in pages}) == len(pages)
+    assert [p["page"] for p in pages] == list(range(-(-70 // page_lines)))
     assert (len(pages) == 1) == (page_lines >= 70)
 
     def lines(marker, end):
@@ -109,8 +118,8 @@ def test_long_digest_loses_no_line(spark, page_lines):
 
     want_posts = [f"&lt;t{i}&gt;" for i in sorted(range(40), key=lambda i: (-(i % 7), f"{i:03d}"))]
     want_comments = [f"body {i} &amp; more" for i in sorted(range(30), key=lambda i: (-(i % 5), f"c{i:03d}"))]
-    assert lines("New posts: <br> ", " <br><br>") == want_posts
-    assert lines("New comments: <br> ", " <br><br>") == want_comments
+    assert lines("<h4>Posts</h4>", "<h4>Comments</h4>") == want_posts
+    assert lines("<h4>Comments</h4>", "<p>") == want_comments
     for p in pages:
         assert p["html"].count("&lt;t") + p["html"].count("&amp; more") <= page_lines
 
@@ -124,12 +133,12 @@ def world(spark, root):
     lexicon = spark.createDataFrame([("good", 0.5), ("bad", -0.5)], schemas.LEXICON)
     email = spark.createDataFrame([("me@example.org",)], "_c0 string")
 
-    def run(posts, comments, subreddits=("a",), keywords=("key",), **options):
+    def run(posts, comments, subreddits=("a",), keywords=("key",), sync=None, **options):
         return run_once(
             spark, root, posts_of(spark, posts), comments_frame(spark, comments),
             spark.createDataFrame([(s,) for s in subreddits], schemas.SUBREDDITS),
             spark.createDataFrame([(k,) for k in keywords], schemas.KEYWORDS),
-            email, lexicon, Settings(cutoff=0, **options),
+            email, lexicon, Settings(cutoff=0, **options), sync=sync,
         )
 
     return run, SnapshotTables(spark, f"{root}/tables")
@@ -151,7 +160,7 @@ def test_life_of_a_store(world):
         ("c1", "N/A", 0.5), ("c3", "key", -0.5),
     ]
     assert dict(store.read(full_run.GOLD_COMMENTS).dtypes)["comment_sentiment"] == "float"
-    assert "First update" in store.read(full_run.DIGEST).first()["html"]
+    assert "first digest" in store.read(full_run.DIGEST).first()["html"]
 
     quiet = run(posts, comments)
     assert (quiet.action, quiet.updates, quiet.new_posts, quiet.new_comments, quiet.notify) == (
@@ -171,7 +180,7 @@ def test_life_of_a_store(world):
     assert store.versions(full_run.SUBMISSIONS) == {0: 0, 1: 0}
     assert rows(store.read(full_run.SUBMISSIONS, 0), "id") == [("1",)]
     assert rows(store.read(full_run.DIRECT), "comment_id") == [("c1",), ("c2",), ("c4",)]
-    assert "New posts with keyword: 1 " in store.read(full_run.DIGEST).first()["html"]
+    assert "digest: 1 posts, 0 comments" in store.read(full_run.DIGEST).first()["html"]
 
     changed = run(posts, comments, keywords=("key", "none"))
     assert (changed.action, changed.same_sub, changed.same_key) == ("rebuild", True, False)
@@ -208,6 +217,39 @@ def test_a_run_that_fails_before_its_end_sees_the_same_changes_again(world, monk
     assert rows(store.read(full_run.SUBMISSIONS), "key") == [("other",)]
 
 
+def test_a_run_that_fails_after_its_merge_still_reports_it(world, monkeypatch):
+    run, store = world
+    posts = [post("1", title="key", at=10.0)]
+    run(posts, [])
+    posts.append(post("2", title="key", at=20.0))
+    monkeypatch.setattr(full_run, "update_counts", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(posts, [])
+    monkeypatch.undo()
+    again = run(posts, [])
+    assert (again.action, again.new_posts, again.notify) == ("keep", 1, "update")
+    assert "digest: 1 posts" in store.read(full_run.DIGEST).first()["html"]
+    assert run(posts, []).notify == "none"
+
+
+def test_strange_lists_do_not_look_changed(world):
+    run, _ = world
+    posts = [post("1", title="an ai key", at=10.0)]
+    strange = ("key", " ai ", "", None, "a\nb", 'x"y')
+    run(posts, [], keywords=strange)
+    assert run(posts, [], keywords=strange).action == "keep"
+    posts.append(post("2", title="more ai key", at=20.0))
+    assert run(posts, [], keywords=strange).action == "merge"
+
+
+def test_sync_gets_the_gold_tables(world):
+    run, _ = world
+    seen = {}
+    run([post("1", title="key", at=10.0)], [], sync=lambda df, name: seen.update({name: (df.columns, df.count())}))
+    assert set(seen) == {full_run.GOLD_SUBMISSIONS, full_run.GOLD_COMMENTS}
+    assert "keyword" in seen[full_run.GOLD_SUBMISSIONS][0] and seen[full_run.GOLD_SUBMISSIONS][1] == 1
+
+
 def test_previous_rows_survive_incremental_runs(world):
     run, store = world
     rng = random.Random(2)

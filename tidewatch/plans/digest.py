@@ -6,17 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import escape_html
-from tidewatch.operators.topk import newest_k
+from tidewatch.operators.topk import newest_k, with_rank
 
-# The wording of the digest.
-SUBJECT = "New update"
+SUBJECT = "Watch list news"
 SEPARATOR = "<br>"
-REPORT_URL = "https://www.google.com/"
-REPORT_LABEL = "Power BI report"
 
-# Lines a digest page holds. Longer digests become several pages.
+# Lines a digest page holds, whatever the length of the digest.
 PAGE_LINES = 1000
-_ROW_BITS = 33
 
 
 def digest_lines(posts: DataFrame, n_posts: int, comments: DataFrame, n_comments: int) -> DataFrame:
@@ -50,24 +46,21 @@ def _joined(section: int) -> Column:
 
 def digest_html(
     kind: str, recipient: Column, n_posts: Column, n_comments: Column, posts: Column, comments: Column,
-    report_url: str = REPORT_URL,
+    report_url: str | None = None,
 ) -> Column:
-    """The message text; `kind` is update or first."""
+    """The message text; `kind` is update or first. `report_url` adds a link."""
+    opening = [F.lit("<p>This is the first digest of your watch list.</p>")]
     if kind == "update":
         opening = [
-            F.lit("New updates are available <br><br>New posts with keyword: "),
-            n_posts.cast("string"),
-            F.lit(" <br><br>New comments with keyword: "),
-            n_comments.cast("string"),
-            F.lit(" <br><br>"),
+            F.lit("<p>Since the last digest: "), n_posts.cast("string"), F.lit(" posts, "),
+            n_comments.cast("string"), F.lit(" comments.</p>"),
         ]
-    else:
-        opening = [F.lit("First update <br><br>")]
+    link = [F.lit(f'<p><a href="{report_url}">Report</a></p>')] if report_url else []
     return F.concat(
-        F.lit("<h3>Hello "), escape_html(recipient), F.lit(",</h3><br/><br>"),
+        F.lit("<p>To "), escape_html(recipient), F.lit("</p>"),
         *opening,
-        F.lit("New posts: <br> "), posts, F.lit(" <br><br>New comments: <br> "), comments,
-        F.lit(f' <br><br>Follow the link to view the latest <a href="{report_url}">{REPORT_LABEL}</a>'),
+        F.lit("<h4>Posts</h4>"), posts, F.lit("<h4>Comments</h4>"), comments,
+        *link,
     )
 
 
@@ -79,29 +72,23 @@ def digest(
     comments: DataFrame,
     n_comments: int,
     page_lines: int = PAGE_LINES,
-    report_url: str = REPORT_URL,
+    report_url: str | None = None,
 ) -> DataFrame:
     """(recipient, subject, page, html, post_count, comment_count).
 
-    One row, as long as the digest fits one page. A longer one is sorted
-    across the cluster and cut into pages of at most `page_lines` lines, so
-    that no task gathers more than a page; `page` numbers rise in reading
-    order, and every line is on exactly one page.
+    Line r, counted from 0 in reading order, is on page r div `page_lines`, so a
+    task gathers no more than a page. A digest without lines is one empty page.
     """
     lines = digest_lines(posts, n_posts, comments, n_comments)
+    order = [F.col("section"), F.col("time_utc").desc(), F.col("tie")]
+    page = F.floor(F.col("_rank") / page_lines).cast("bigint")
+    paged = with_rank(lines, order).select(page.alias("page"), *lines.columns)
+    first = lines.sparkSession.range(1).select(
+        F.lit(0).cast("bigint").alias("page"), F.lit(-1).alias("section"),
+        *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in ("time_utc", "tie", "line")],
+    )
     texts = [_joined(0).alias("posts"), _joined(1).alias("comments")]
-    if n_posts + n_comments <= page_lines:
-        pages = lines.agg(*texts).withColumn("page", F.lit(0).cast("bigint"))
-    else:
-        place = F.monotonically_increasing_id()
-        first_row = F.shiftleft(F.shiftright(place, _ROW_BITS), _ROW_BITS)
-        page = first_row + F.floor((place - first_row) / page_lines)
-        pages = (
-            lines.orderBy("section", F.col("time_utc").desc(), "tie")
-            .withColumn("page", page)
-            .groupBy("page")
-            .agg(*texts)
-        )
+    pages = paged.unionByName(first).groupBy("page").agg(*texts)
     to = recipient.select("recipient").scalar()
     counted = pages.select(
         to.alias("recipient"),

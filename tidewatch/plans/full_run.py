@@ -2,11 +2,13 @@
 
 Every stage is written before the next reads it, so a lost executor costs the
 tasks it held, not the run. A run that fails is simply started again: config
-lists are saved last, so it sees the same changes as before.
+lists and the versions reported are saved last, so it sees the same changes and
+the same news as before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +21,12 @@ from tidewatch.operators.comments import comments_direct
 from tidewatch.operators.newest import COMMENT_POSTS_PER_SUBREDDIT, POSTS_PER_SUBREDDIT, Posts
 from tidewatch.plans import bronze, gold, silver
 from tidewatch.plans.decisions import has_updates, notify_action, refresh_action
-from tidewatch.plans.digest import REPORT_URL, digest
+from tidewatch.plans.digest import digest
 from tidewatch.plans.growth import update_counts
 from tidewatch.sources.files import path_exists
 from tidewatch.sources.snapshots import SnapshotTables
-from tidewatch.sources.watchlist import WatchList, first_recipient, read_list, write_list
+from tidewatch.sources.jdbc import sync_frame
+from tidewatch.sources.watchlist import WatchList, first_recipient, read_stored_list, write_list
 
 SUBMISSIONS = "bronze_submissions"
 STAGING = "bronze_submissions_temp"
@@ -43,7 +46,7 @@ class Settings:
     comment_posts_per_subreddit: int | None = COMMENT_POSTS_PER_SUBREDDIT
     base_url: str = BASE_URL
     zone: str = NEW_YORK
-    report_url: str = REPORT_URL
+    report_url: str | None = None
     compat_digest: bool = False
 
 
@@ -70,8 +73,13 @@ def run_once(
     lexicon: DataFrame,
     settings: Settings = Settings(),
     tables=None,
+    sync: Callable[[DataFrame, str], None] | None = None,
 ) -> RunReport:
-    """Bring all tables below `root` up to date with the inputs."""
+    """Bring all tables below `root` up to date with the inputs.
+
+    `sync(frame, table)` gets the two gold tables as a database would have them,
+    once they are stored (see `sources.jdbc.sync_jdbc`).
+    """
     tables = tables or SnapshotTables(spark, f"{root}/tables")
     watch = WatchList.of(subreddits, keywords)
     flags = _compare_lists(spark, root, watch)
@@ -103,7 +111,12 @@ def run_once(
     ):
         tables.overwrite(gold.as_stored(made), name, same_schema=True)
 
-    new_posts, new_comments = update_counts(tables, both_same, updates, SUBMISSIONS, INDIRECT)
+    if sync is not None:
+        for name in (GOLD_SUBMISSIONS, GOLD_COMMENTS):
+            sync(sync_frame(tables.read(name)), name)
+
+    reported = _reported(spark, root)
+    new_posts, new_comments = update_counts(tables, both_same, updates, SUBMISSIONS, INDIRECT, reported)
     notify = (
         spark.range(1)
         .select(
@@ -129,6 +142,7 @@ def run_once(
         tables.overwrite(message, DIGEST)
 
     _save_lists(root, watch, email)
+    _save_reported(spark, root, {name: tables.latest(name) for name in (SUBMISSIONS, INDIRECT)})
     names = (SUBMISSIONS, DIRECT, INDIRECT, SILVER_COMMENTS, SILVER_SUBMISSIONS, GOLD_COMMENTS,
              GOLD_SUBMISSIONS, DIGEST)
     return RunReport(
@@ -140,7 +154,7 @@ def run_once(
 def _compare_lists(spark: SparkSession, root: str, watch: WatchList) -> dict[str, bool]:
     def stored(name: str) -> DataFrame | None:
         path = f"{root}/config/{name}"
-        return read_list(spark, path, name) if path_exists(spark, f"{path}/_SUCCESS") else None
+        return read_stored_list(spark, path, name) if path_exists(spark, f"{path}/_SUCCESS") else None
 
     return (
         config_flags(stored("subreddits"), watch.subreddits, stored("keywords"), watch.keywords)
@@ -149,6 +163,22 @@ def _compare_lists(spark: SparkSession, root: str, watch: WatchList) -> dict[str
     )
 
 
+_REPORTED = "table string, version bigint"
+
+
+def _reported(spark: SparkSession, root: str) -> dict[str, int] | None:
+    """The versions that the last finished run has told of, if there was one."""
+    path = f"{root}/config/reported"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return None
+    return {r["table"]: r["version"] for r in spark.read.schema(_REPORTED).parquet(path).collect()}
+
+
+def _save_reported(spark: SparkSession, root: str, versions: dict[str, int]) -> None:
+    frame = spark.createDataFrame(list(versions.items()), _REPORTED)
+    frame.coalesce(1).write.mode("overwrite").parquet(f"{root}/config/reported")
+
+
 def _save_lists(root: str, watch: WatchList, email: DataFrame) -> None:
     for name, frame in (("subreddits", watch.subreddits), ("keywords", watch.keywords), ("email", email)):
         write_list(frame, f"{root}/config/{name}")

@@ -27,8 +27,10 @@ def read_post_stream(spark: SparkSession, path: str, max_files: int = 1000) -> D
 
 
 def _one_per_post(batch: DataFrame) -> DataFrame:
-    """Of a post that arrived more than once, the version with most comments."""
-    latest = Window.partitionBy("id").orderBy(F.col("num_comments").desc(), "title", "selftext")
+    """Of a post that arrived more than once, the version with most comments.
+
+    Ties go to the smaller hash of the text, so no text is compared."""
+    latest = Window.partitionBy("id").orderBy(F.col("num_comments").desc(), F.xxhash64("title", "selftext"))
     return batch.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 
@@ -49,10 +51,11 @@ def follow_posts(
         arrived = tables.read(staging)
         if not tables.exists(table):
             tables.overwrite(arrived, table)
-            return
-        bound = arrived.agg(F.count("*")).first()[0]
-        if bound:
-            tables.merge(arrived, table, MERGE_KEYS, max_source=bound)
+        else:
+            bound = arrived.count()
+            if bound:
+                tables.merge(arrived, table, MERGE_KEYS, max_source=bound)
+        tables.drop(staging)
 
     return (
         posts.writeStream.foreachBatch(merge_batch)
