@@ -20,8 +20,9 @@ CUTOFF = 1704153600  # 2024-01-02 UTC
 FIRST_RUN = 1704304800  # 2024-01-03 18:00 UTC: what an earlier run could see
 SUBREDDITS = [*(f"src{i}" for i in range(20)), "nosuch"]
 KEYWORDS = ["The", "tion", "EAU", "über"]
-LEXICON = {"the": 0.1, "is": 0.5, "was": -0.4, "not": -0.2, "la": 0.3, "und": -0.3}
-
+LEXICON = {"the": 0.1, "is": 2.5, "was": -4.0, "not": -0.2, "la": 0.3, "und": -0.3}
+# Words that change the next one: whether they negate it, and by what factor they strengthen it.
+MODIFIERS = {"in": (True, None), "of": (False, 1.5), "de": (True, 2.0), "en": (False, 0.5)}
 
 # Stated so that no job has to run to look the schemas up.
 SCHEMAS = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.inputs import CUTOFF, FIRST_RUN, KEYWORDS, LEXICON
+from checks.inputs import CUTOFF, FIRST_RUN, KEYWORDS, LEXICON, MODIFIERS
 
 # The input views and the tables derived from them, in order.
 _VIEWS = f"""
@@ -205,7 +205,14 @@ def _digest(select: str) -> str:
     return f"with {_ALL}\n{_COUNTS}\n{select}"
 
 
-_RECIPIENT = "select min('user' || user_id || '@example.org') recipient from events"
+_RECIPIENT = "select 'user' || user_id || '@example.org' recipient from events order by event_id limit 1"
+# Lines of a digest page.
+_PAGE = 1000
+
+def _newest_lines(time: str) -> str:
+    return f"""select l_orderkey, l_linenumber, {time} time_utc from lineitem
+      order by time_utc desc, l_orderkey, l_linenumber limit 20000"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "scan_config_list": "select source subreddits, count(*) n from documents group by 1",
@@ -219,6 +226,10 @@ ORACLE_SQL: dict[str, str] = {
           not exists (select lang from documents except all
             (select lang from documents order by lang desc)) same_key)"""
     ),
+    "config_round_trip": """select line, count(*) n, true same_sub from (
+      select case when doc_id % 5 = 0 then ' ' || source || '  ' when doc_id % 7 = 0 then ''
+        when doc_id % 11 = 0 then null when doc_id % 13 = 0 then source || chr(10) || '"x",y'
+        else source end line from documents) group by 1""",
     "config_select": """select d.doc_id, d.source "name" from documents d
       left join (select * from labels where toxic = 1) l using (doc_id)
       where d.source in ('src1', 'src5', 'src9') and l.doc_id is null""",
@@ -241,6 +252,49 @@ ORACLE_SQL: dict[str, str] = {
         coalesce(s.upvote_ratio, t.upvote_ratio) upvote_ratio
         from submissions_t0 t full outer join submissions s on s.id = t.id and s."key" = t."key" """
     ),
+    "merge_changed": _sql(
+        """select coalesce(s.subreddit_name, t.subreddit_name) subreddit_name, coalesce(s."key", t."key") "key",
+          case when s.id is null or (t.id is not null and s.id::bigint % 3 <> 0) then t.post_title
+               when s.id::bigint % 3 = 0 then s.post_title || '!' else s.post_title end post_title,
+          coalesce(s.id, t.id) id, coalesce(s.PermaLink, t.PermaLink) PermaLink,
+          coalesce(s.Comments, t.Comments) Comments,
+          case when s.id is null or (t.id is not null and s.id::bigint % 3 <> 0) then t.Self_text
+               when s.id::bigint % 3 = 1 then null else s.Self_text end Self_text,
+          coalesce(s.time_utc, t.time_utc) time_utc, coalesce(s.upvote_ratio, t.upvote_ratio) upvote_ratio
+        from submissions_t0 t full outer join submissions s on s.id = t.id and s."key" = t."key" """
+    ),
+    "submissions_long_keywords": _sql(
+        f"""select keyword "key", count(*) n, max(created_utc) latest from newest join (
+          select distinct unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) keyword from benchmark
+          union all select '') k on contains(lower(title), keyword) or contains(lower(selftext), keyword)
+        where rn <= 500 and created_utc > {CUTOFF} group by 1"""
+    ),
+    "newest_k_large": _newest_lines("cast(date_diff('day', date '1970-01-01', cast(l_shipdate as date)) * 86400 as double)"),
+    "newest_k_one_hour": _newest_lines("cast(year(l_shipdate) as double)"),
+    "comments_unbounded": _sql("select * from direct_now"),
+    "sentiment_long_list": _sql(
+        """select comment_id, body, case when body is not null then coalesce((
+          select round(sum(cast(l.polarity as bigint) * 1000000000) / cast(count(*) * 1000000000 as double), 6)
+          from (select unnest(regexp_extract_all(lower(body), '\\p{L}+')) word) w join (
+            select word, (count(*) % 9) - 4 polarity
+            from (select unnest(regexp_extract_all(lower(text), '\\p{L}+')) word from documents)
+            group by 1 having count(*) >= 10) l using (word)), 0.0) + 0.0 end comment_sentiment
+        from raw_comments"""
+    ),
+    "sentiment_modifiers": _sql(
+        f"""select comment_id, body, case when body is not null then coalesce(points, 0.0) + 0.0 end comment_sentiment
+        from raw_comments left join (
+          select comment_id, round(sum(cast(round(polarity * coalesce(factor, 1.0) * 1e9) as bigint))
+            / cast(count(*) * 1000000000 as double), 6) points
+          from (select comment_id, ws[i] word, ws[i - 1] before from (
+            select comment_id, ws, unnest(range(1, len(ws) + 1)) i from (
+              select comment_id, regexp_extract_all(lower(body), '\\p{{L}}+') ws from raw_comments)) x) y
+          join lexicon using (word)
+          left join (select unnest({list(MODIFIERS)}) before, unnest({[
+              (1.0 if strength is None else strength) * (-0.5 if negation else 1.0)
+              for negation, strength in MODIFIERS.values()]})::double factor) m using (before)
+          group by 1) using (comment_id)"""
+    ),
     "write_then_read": _sql("select * exclude (doc_id) from posts"),
     "table_by_name": _sql("select id, subreddit_name, title, created_utc from posts"),
     "comments_direct": _sql("select * from direct_now"),
@@ -297,15 +351,13 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "digest_lines": _digest("select section, time_utc, line from chosen"),
     "digest_html": _digest(
-        f"""select recipient, 'New update' subject, 0::bigint page,
-          '<h3>Hello ' || recipient || ',</h3><br/><br>New updates are available <br><br>'
-          || 'New posts with keyword: ' || n_posts || ' <br><br>New comments with keyword: ' || n_comments
-          || ' <br><br>New posts: <br> ' || posts || ' <br><br>New comments: <br> ' || comments
-          || ' <br><br>Follow the link to view the latest <a href="https://www.google.com/">'
-          || 'Power BI report</a>' html,
+        f"""select recipient, 'Watch list news' subject, page,
+          '<p>To ' || recipient || '</p><p>Since the last digest: ' || n_posts || ' posts, ' || n_comments
+          || ' comments.</p><h4>Posts</h4>' || coalesce(posts, '') || '<h4>Comments</h4>' || coalesce(comments, '') html,
           n_posts::bigint post_count, n_comments::bigint comment_count
         from counts, ({_RECIPIENT}),
-          (select string_agg(line, '<br>' order by rn) filter (section = 0) posts,
-                  string_agg(line, '<br>' order by rn) filter (section = 1) comments from chosen)"""
+          (select page, string_agg(line, '<br>' order by rn) filter (section = 0) posts,
+                  string_agg(line, '<br>' order by rn) filter (section = 1) comments
+           from (select *, (row_number() over (order by section, rn) - 1) // {_PAGE} page from chosen) group by page)"""
     ),
 }

@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.inputs import CUTOFF, FIRST_RUN, Inputs
+from checks.inputs import CUTOFF, FIRST_RUN, LEXICON, MODIFIERS, Inputs
 from tidewatch.functions.sentiment import with_sentiment
 from tidewatch.functions.time import local_timestamp, utc_text
 from tidewatch.operators import changes, comments as comment_ops, match, merge
@@ -18,6 +18,7 @@ from tidewatch.plans import bronze, decisions, digest, full_run, gold, growth, s
 from tidewatch.session import scratch_dir
 from tidewatch.sources import jdbc, tables, watchlist
 from tidewatch.sources.snapshots import SnapshotTables
+from tidewatch.sources.watchlist import WatchList
 
 NEWEST = 30
 TOP = 100
@@ -38,7 +39,7 @@ def query(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
 def scan_config_list(i: Inputs) -> DataFrame:
     path = f"{scratch_dir(i.spark, 'list')}/subreddits"
     watchlist.write_list(i.documents.select("source"), path)
-    listed = watchlist.read_list(i.spark, path, "subreddits")
+    listed = watchlist.read_stored_list(i.spark, path, "subreddits")
     return listed.groupBy("subreddits").agg(F.count("*").alias("n"))
 
 
@@ -67,6 +68,23 @@ def config_diff_flags(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def config_round_trip(i: Inputs) -> DataFrame:
+    """Lines with blanks, empty ones, NULLs and line breaks, saved and read."""
+    path = f"{scratch_dir(i.spark, 'trip')}/list"
+    n = F.col("doc_id")
+    line = (
+        F.when(n % 5 == 0, F.concat(F.lit(" "), "source", F.lit("  "))).when(n % 7 == 0, "")
+        .when(n % 11 == 0, F.lit(None)).when(n % 13 == 0, F.concat("source", F.lit('\n"x",y')))
+        .otherwise(F.col("source"))
+    )
+    lines = i.documents.select(line.alias("line"))
+    watchlist.write_list(lines, path)
+    stored = watchlist.read_stored_list(i.spark, path, "line")
+    same = changes.config_flags(lines, stored, lines, stored).select("same_sub")
+    return stored.groupBy("line").agg(F.count("*").alias("n")).crossJoin(F.broadcast(same))
+
+
 @query
 def config_select(i: Inputs) -> DataFrame:
     toxic = i.table("labels").where("toxic = 1").select("doc_id", F.lit(True).alias("toxic"))
@@ -124,6 +142,51 @@ def merge_submissions(i: Inputs) -> DataFrame:
     return merge.merge_upsert(_submissions_t0(i), submissions_full(i), bronze.MERGE_KEYS)
 
 
+@query
+def merge_changed(i: Inputs) -> DataFrame:
+    """The bounded route: rows that are new, changed, equal, or differ by a NULL only."""
+    store = SnapshotTables(i.spark, scratch_dir(i.spark, "changed"))
+    store.overwrite(_submissions_t0(i), "target")
+    number = F.col("id").cast("bigint")
+    source = submissions_full(i).withColumns(
+        {
+            "post_title": F.when(number % 3 == 0, F.concat("post_title", F.lit("!"))).otherwise(F.col("post_title")),
+            "Self_text": F.when(number % 3 == 1, F.lit(None)).otherwise(F.col("Self_text")),
+        }
+    )
+    store.overwrite(source, "source")
+    stored = store.read("source")
+    store.merge(stored, "target", bronze.MERGE_KEYS, max_source=stored.count())
+    return store.read("target")
+
+
+@query
+def submissions_long_keywords(i: Inputs) -> DataFrame:
+    """More keywords than are tested one by one: all words of the benchmark, and an empty one."""
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    listed = i.spark.read.parquet(f"{i.sf_dir}/benchmark.parquet").select(words.alias("keywords")).distinct()
+    listed = listed.unionAll(i.literal(keywords=[""]))
+    found = bronze.submissions_full(i.posts(), WatchList.of(i.subreddits, listed), CUTOFF)
+    return found.groupBy("key").agg(F.count("*").alias("n"), F.max("time_utc").alias("latest"))
+
+
+@query
+def newest_k_large(i: Inputs) -> DataFrame:
+    return _newest_lines(i, F.unix_date(F.col("l_shipdate").cast("date")) * 86_400.0)
+
+
+@query
+def newest_k_one_hour(i: Inputs) -> DataFrame:
+    # All rows within one hour of each other, most with equal times.
+    return _newest_lines(i, F.year("l_shipdate").cast("double"))
+
+
+def _newest_lines(i: Inputs, time: Column) -> DataFrame:
+    lines = i.spark.read.parquet(f"{i.sf_dir}/lineitem.parquet")
+    lines = lines.select("l_orderkey", "l_linenumber", time.alias("time_utc"))
+    return newest_k(lines, 20_000, ties=("l_orderkey", "l_linenumber"))
+
+
 @query
 def write_then_read(i: Inputs) -> DataFrame:
     store = SnapshotTables(i.spark, scratch_dir(i.spark, "write"))
@@ -136,7 +199,9 @@ def write_then_read(i: Inputs) -> DataFrame:
 def table_by_name(i: Inputs) -> DataFrame:
     name = f"tidewatch_{uuid.uuid4().hex}"
     tables.write_table(i.wide_posts(), name, path=scratch_dir(i.spark, "table"))
-    return tables.read_table(i.spark, name).select("id", "subreddit_name", "title", "created_utc")
+    found = tables.read_table(i.spark, name).select("id", "subreddit_name", "title", "created_utc")
+    tables.drop_table(i.spark, name)  # the files, named by path, stay
+    return found
 
 
 # --- comments --------------------------------------------------------------
@@ -148,6 +213,11 @@ def comments_direct(i: Inputs) -> DataFrame:
     return comment_ops.comments_direct(submissions_full(i), i.comments(), bound)
 
 
+@query
+def comments_unbounded(i: Inputs) -> DataFrame:
+    return comment_ops.comments_direct(submissions_full(i), i.comments())
+
+
 @query
 def comments_indirect(i: Inputs) -> DataFrame:
     return bronze.comments_indirect(i.posts(), i.comments(), i.watch, CUTOFF)
@@ -200,6 +270,32 @@ def title_sentiment(i: Inputs) -> DataFrame:
     return with_sentiment(i.content.select("id", "title"), ["id"], "title", i.lexicon, "title_sentiment")
 
 
+def _words(column: str) -> Column:
+    return F.regexp_extract_all(F.lower(column), F.lit(r"\p{L}+"), F.lit(0))
+
+
+@query
+def sentiment_long_list(i: Inputs) -> DataFrame:
+    """A list of thousands of words, those that the documents hold ten times or more."""
+    words = i.documents.select(F.explode(_words("text")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    lexicon = words.where("n >= 10").select("word", (F.col("n") % 9 - 4).cast("double").alias("polarity"))
+    comments = i.comments().select("comment_id", "body")
+    return with_sentiment(comments, ["comment_id"], "body", lexicon, "comment_sentiment")
+
+
+@query
+def sentiment_modifiers(i: Inputs) -> DataFrame:
+    """Words that negate or strengthen the next one."""
+    lexicon = i.literal(
+        word=[*LEXICON, *MODIFIERS],
+        polarity=[*LEXICON.values(), *(None for _ in MODIFIERS)],
+        is_negation=[*(False for _ in LEXICON), *(negation for negation, _ in MODIFIERS.values())],
+        intensity=[*(None for _ in LEXICON), *(intensity for _, intensity in MODIFIERS.values())],
+    )
+    comments = i.comments().select("comment_id", "body")
+    return with_sentiment(comments, ["comment_id"], "body", lexicon, "comment_sentiment")
+
+
 @query
 def gold_comments(i: Inputs) -> DataFrame:
     return gold.gold_comments(silver_comments(i), i.lexicon)

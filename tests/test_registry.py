@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from checks.inputs import CUTOFF, KEYWORDS, Inputs
+from checks.oracle import ORACLE_SQL
+from checks.registry import QUERIES
 from checks.run import compare, connect
 from conftest import SF_DIR
 from tidewatch import schemas
@@ -19,14 +21,15 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     ok, note = compare(spark, con, SF_DIR, name)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
