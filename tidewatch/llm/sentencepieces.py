@@ -27,8 +27,10 @@ from pyspark.sql import types as T
 from tidewatch.llm.texts import arrow_schema, list_array, map_batches, map_texts, slices
 from tidewatch.llm.token_counts import MAX_KEY, SPACE_MARK, pattern, pre_tokens
 
-CACHE_ROWS = 400_000
+# Of each of the two generations of the cache; both take about 100 MB.
+CACHE_ROWS = 300_000
 PAIRS = 1_000_000
+STEPS = 1_000_000
 BPE, UNIGRAM = "bpe", "unigram"
 
 
@@ -48,6 +50,10 @@ class Pieces:
     cache: dict[bytes, bytes] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     unknown: float = 0.0  # score of a character without a piece
+    names: dict[int, str] = field(default_factory=dict)
+    steps: dict[tuple[int, str], int] = field(default_factory=dict)  # moves found over failure links
+    ending: dict[int, list[str]] = field(default_factory=dict)
+    older: dict[bytes, bytes] = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str, kind: str = BPE) -> Pieces:
@@ -71,6 +77,7 @@ class Pieces:
         return self
 
     def _build(self) -> None:
+        self.names = {i: piece for piece, i in self.ids.items()}
         for piece, i in self.ids.items():
             state = 0
             for char in piece:
@@ -117,58 +124,94 @@ class Pieces:
             self.pairs[left, right] = found
         return found
 
+    def _next(self, state: int, char: str) -> int:
+        moves, fails, start = self.moves, self.fails, state
+        while state and char not in moves[state]:
+            state = fails[state]
+        state = moves[state].get(char, 0)
+        if len(self.steps) >= STEPS:
+            self.steps.clear()
+        self.steps[start, char] = state
+        return state
+
+    def _ending(self, state: int) -> list[str]:
+        """The pieces that end in a state, longest first, along the output links."""
+        at = state if self.ends[state][0] >= 0 else self.outputs[state]
+        found = []
+        while at:
+            found.append(self.ends[at][0])
+            at = self.outputs[at]
+        return [self.names[i] for i in found]
+
     def ways(self, text: str) -> list[str]:
         """The text cut into pieces, unknown characters on their own."""
-        sizes = [0] * (len(text) + 1)  # length of the last symbol of the best way, 0 without one
-        sums = [0.0] + [-np.inf] * len(text)
-        moves, fails, ends, outputs = self.moves, self.fails, self.ends, self.outputs
-        bpe = self.kind == BPE
-        state = 0
-        for end, char in enumerate(text, 1):
-            while state and char not in moves[state]:
-                state = fails[state]
-            state = moves[state].get(char, 0)
-            at = state if ends[state][0] >= 0 else outputs[state]
-            single = False
-            while at:
-                i, size = ends[at]
-                single |= size == 1
-                start = end - size
-                if start == 0 or sizes[start]:
-                    if bpe:
-                        if self._apart(text[start - sizes[start] : start], text[start:end]):
-                            sizes[end] = size
-                            break
-                    elif sums[start] + self.scores[i] > sums[end]:
-                        sums[end], sizes[end] = sums[start] + self.scores[i], size
-                at = outputs[at]
-            if not sizes[end] and not single and (end == 1 or sizes[end - 1]):
-                if not bpe or self._apart(text[end - 1 - sizes[end - 1] : end - 1], char):
-                    sizes[end], sums[end] = 1, sums[end - 1] + self.unknown
-        if text and not sizes[-1]:
+        last = [""] * (len(text) + 1)  # the last symbol of the best way to each position
+        ending, steps = self.ending, self.steps
+        if self.kind == BPE:
+            self._relaxed_by_merges(text, last, ending, steps)
+        else:
+            self._relaxed_by_sums(text, last, ending, steps)
+        if text and not last[-1]:
             return self.merged(text)
         parts, end = [], len(text)
         while end:
-            parts.append(text[end - sizes[end] : end])
-            end -= sizes[end]
+            parts.append(last[end])
+            end -= len(last[end])
         return parts[::-1]
 
+    def _relaxed_by_merges(self, text: str, last: list[str], ending: dict, steps: dict) -> None:
+        pairs, state = self.pairs, 0
+        for end, char in enumerate(text, 1):
+            new = steps.get((state, char))
+            state = self._next(state, char) if new is None else new
+            pieces = ending.get(state)
+            if pieces is None:
+                pieces = ending[state] = self._ending(state)
+            # A character that is no piece stands on its own unless merged.
+            for piece in pieces if pieces and len(pieces[-1]) == 1 else [*pieces, char]:
+                start = end - len(piece)
+                left = last[start]
+                if left or not start:
+                    apart = pairs.get((left, piece))
+                    if self._apart(left, piece) if apart is None else apart:
+                        last[end] = piece
+                        break
+
+    def _relaxed_by_sums(self, text: str, last: list[str], ending: dict, steps: dict) -> None:
+        sums = [0.0] + [-np.inf] * len(text)
+        state = 0
+        for end, char in enumerate(text, 1):
+            new = steps.get((state, char))
+            state = self._next(state, char) if new is None else new
+            pieces = ending.get(state)
+            if pieces is None:
+                pieces = ending[state] = self._ending(state)
+            for piece in pieces if pieces and len(pieces[-1]) == 1 else [*pieces, char]:
+                i = self.ids.get(piece)
+                total = sums[end - len(piece)] + (self.unknown if i is None else self.scores[i])
+                if total > sums[end]:
+                    sums[end], last[end] = total, piece
+
     def encoded(self, token: bytes) -> bytes:
         """The ids of a pre-token as 32-bit numbers."""
         found = self.cache.get(token)
         if found is None:
-            text = token.decode("utf-8", "replace").replace(" ", "▁")
-            ids: list[int] = []
-            for part in self.ways(text):
-                i = self.ids.get(part)
-                ids += [i] if i is not None else [self.byte_ids[b] for b in part.encode()]
-            found = np.array(ids, "<i4").tobytes()
+            found = self.older.get(token)
+            if found is None:
+                found = self._encoded(token)
             if len(token) <= MAX_KEY:
                 if len(self.cache) >= CACHE_ROWS:
-                    self.cache.clear()
+                    self.older, self.cache = self.cache, {}
                 self.cache[token] = found
         return found
 
+    def _encoded(self, token: bytes) -> bytes:
+        ids: list[int] = []
+        for part in self.ways(token.decode("utf-8", "replace").replace(" ", "▁")):
+            i = self.ids.get(part)
+            ids += [i] if i is not None else [self.byte_ids[b] for b in part.encode()]
+        return np.array(ids, "<i4").tobytes()
+
     def decoded(self, ids: list[int]) -> bytes:
         """The text of some ids: without the space put before it, bytes that are no UTF-8 replaced."""
         text = b"".join(map(self.spelled.__getitem__, ids)).removeprefix(b" ")
