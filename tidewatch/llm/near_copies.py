@@ -8,7 +8,9 @@ holds the same elements of both. A size band (tile) has one number of parts;
 a set hands in a signature per part, and only sets that share a signature can
 link. Signatures are sorted over the cluster at sampled splitters, so one that
 very many sets share is spread like any other, and each set is tied to the
-first of its run: a few rows per signature and no pairs.
+first of its run: a few rows per signature and no pairs. More parts than H + 1
+are made, so that linked sets share several signatures; sets that share too few
+with any others are left out and the rest is tied once more.
 
 The components of these ties are small bags of sets. A bag, or where it is
 large each pair of blocks of neighbouring size bands in it, is compared in one
@@ -115,14 +117,16 @@ def tiles(like: Likeness) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(edges), np.array(apart), np.array(parts)
 
 
-def signatures(values: np.ndarray, counts: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
+def signatures(values: np.ndarray, counts: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signatures of each set's parts in its tile and, near the tile's lower
-    end, in the one below, and how many each set has."""
+    end, in the one below; how many each set has; and how many of them, at
+    least, it has in common with any set that it links with."""
     edges, apart, parts = tiles(like)
     full = np.flatnonzero(counts)
     own = np.searchsorted(edges, counts[full], "right") - 1
     below = (own > 0) & (counts[full] * like.num <= (edges[own] - 1) * like.den)
     found, owners = [], []
+    need = np.full(len(counts), np.iinfo(np.int32).max)
     first = np.cumsum(counts) - counts
     for sets, tile in ((full, own), (full[below], own[below] - 1)):
         if not len(sets):
@@ -139,19 +143,22 @@ def signatures(values: np.ndarray, counts: np.ndarray, like: Likeness) -> tuple[
             head = (tile.astype(np.uint64)[place[starts]] << np.uint64(48)) | part[starts]
             found.append(mixed(sums ^ mixed(head + np.uint64(1))))
         owners.append(sets[place[starts]])
+        empty = parts[tile] - np.bincount(place[starts], minlength=len(sets))
+        # Of the parts, at most `apart` differ, and those empty in both are as many
+        # as this set has empty, at most.
+        need[sets] = np.minimum(need[sets], np.maximum(1, parts[tile] - apart[tile] - empty))
         # A set with so many empty parts that two such sets might agree in no
         # other part hands in its empty parts too.
-        empty = parts[tile] - np.bincount(place[starts], minlength=len(sets))
         for k in np.flatnonzero((empty >= parts[tile] - apart[tile]) & (empty > 0)):
             missing = np.setdiff1d(np.arange(parts[tile[k]], dtype=np.uint64), part[place == k])
             head = (np.uint64(tile[k]) << np.uint64(48)) | missing
             found.append(mixed(mixed(head + np.uint64(1))))
             owners.append(np.full(len(missing), sets[k]))
     if not found:
-        return np.empty(0, np.uint64), np.zeros(len(counts), np.int64)
+        return np.empty(0, np.uint64), np.zeros(len(counts), np.int64), need
     found, owners = np.concatenate(found), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
-    return found[order], np.bincount(owners, minlength=len(counts))
+    return found[order], np.bincount(owners, minlength=len(counts)), need
 
 
 def _sums(values: np.ndarray, counts: np.ndarray, salt: int) -> np.ndarray:
@@ -167,7 +174,7 @@ def _sums(values: np.ndarray, counts: np.ndarray, salt: int) -> np.ndarray:
 def _ties(batches, schema: pa.Schema):
     """Ties (a, b) of each row of a sorted partition with the first of its run;
     rows with a null b name the partition's first and last runs."""
-    first_row, last, previous = True, None, None
+    first_row, last, previous, opened = True, None, None, None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -175,31 +182,45 @@ def _ties(batches, schema: pa.Schema):
         new = np.concatenate([[previous != sig[0]], sig[1:] != sig[:-1]])
         run = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
         heads = np.where(run >= 0, node[np.maximum(run, 0)], last if last is not None else 0)
-        tied = ~new & (heads != node)
-        yield record_batch(_tie_columns(sig[tied], heads[tied], node[tied]), schema)
+        tied = np.flatnonzero(~new & (heads != node))
+        # The first tie of a run tells that its head shares the signature.
+        opens = np.concatenate([[True], sig[tied][1:] != sig[tied][:-1]])[: len(tied)]
+        if len(tied) and sig[tied[0]] == opened:
+            opens[0] = False
+        yield record_batch(_tie_columns(sig[tied], heads[tied], node[tied], opens), schema)
+        if len(tied):
+            opened = sig[tied[-1]]
         if first_row:
-            yield record_batch(_tie_columns(sig[:1], node[:1], None), schema)
+            yield record_batch(_tie_columns(sig[:1], node[:1], None, [False]), schema)
             first_row = False
         previous, last = sig[-1], heads[-1]
     if previous is not None:
-        yield record_batch(_tie_columns(np.array([previous]), np.array([last]), None), schema)
+        yield record_batch(_tie_columns(np.array([previous]), np.array([last]), None, [False]), schema)
 
 
-def _tie_columns(sig, a, b) -> dict:
-    return {"sig": sig, "a": a, "b": [None] * len(a) if b is None else b}
+def _tie_columns(sig, a, b, opens) -> dict:
+    return {"sig": sig, "a": a, "b": [None] * len(a) if b is None else b, "opens": opens}
 
 
 def ties(rows: DataFrame) -> DataFrame:
-    """(a, b): nodes of `rows` (sig, node) that share a sig, each with one other of it."""
-    shape = rows.sparkSession.createDataFrame([], "sig bigint, a bigint, b bigint").schema
+    """(a, b, opens): nodes of `rows` (sig, node) that share a sig, each with one
+    other of it; `opens` once per sig and `a`, or a few times more."""
+    shape = rows.sparkSession.createDataFrame([], "sig bigint, a bigint, b bigint, opens boolean").schema
     arrow = arrow_schema(shape)
     placed = rows.repartitionByRange("sig", "node").sortWithinPartitions("sig", "node")
     found = cut(map_batches(placed, lambda batches: _ties(batches, arrow), shape))
     # Two rows per partition; runs that go on in the next are tied through them.
     ends = found.where("b is null").select("sig", F.col("a").alias("node"))
     least = ends.groupBy("sig").agg(F.min("node").alias("a"))
-    across = ends.join(least, "sig").where("a <> node").select("a", F.col("node").alias("b"))
-    return found.where("b is not null").select("a", "b").unionAll(across)
+    across = ends.join(least, "sig").where("a <> node").select("a", F.col("node").alias("b"), F.lit(True).alias("opens"))
+    return found.where("b is not null").select("a", "b", "opens").unionAll(across)
+
+
+def strong(found: DataFrame, needs: DataFrame) -> DataFrame:
+    """(node): those of `needs` (node, need) with enough signatures that others share."""
+    shared = found.select(F.col("b").alias("node")).unionAll(found.where("opens").select(F.col("a").alias("node")))
+    counts = shared.groupBy("node").agg(F.count("*").alias("shared"))
+    return needs.join(counts, "node").where("shared >= need").select("node")
 
 
 def bitmaps(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -253,17 +274,23 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness(), id_col: str = "doc
 
     def work(ids: pa.Array, texts: list[bytes]) -> dict:
         values, counts = shingle_sets(texts, like.words)
-        signs, n = signatures(values, counts, like)
+        signs, n, need = signatures(values, counts, like)
         return {
             "id": ids, "raw": digests(texts, SPARK_SEED), "n": counts,
-            "h1": _sums(values, counts, 1), "h2": _sums(values, counts, 2), "sigs": list_array(signs, n),
+            "h1": _sums(values, counts, 1), "h2": _sums(values, counts, 2), "sigs": list_array(signs, n), "need": need,
         }
 
-    made = map_texts(docs, work, "id bigint, raw bigint, n bigint, h1 bigint, h2 bigint, sigs array<bigint>", id_col, text_col)
+    made = map_texts(docs, work, "id bigint, raw bigint, n bigint, h1 bigint, h2 bigint, sigs array<bigint>, need int", id_col, text_col)
     rows = cut(made)
     sets = rows.where("n > 0 and id is not null")
-    classes = sets.groupBy("h1", "h2", "n").agg(F.min("id").alias("node"), F.min_by("sigs", "id").alias("sigs"))
-    bags = components(ties(classes.select(F.explode("sigs").alias("sig"), "node")))
+    classes = sets.groupBy("h1", "h2", "n").agg(
+        F.min("id").alias("node"), F.min_by("sigs", "id").alias("sigs"), F.first("need").alias("need")
+    )
+    # Sets that share fewer signatures than a link takes are left out, and the
+    # others tied anew among themselves.
+    nodes = cut(strong(ties(classes.select(F.explode("sigs").alias("sig"), "node")), classes.select("node", "need")))
+    kept = sets.select(F.col("id").alias("node"), "sigs").join(broadcast_if(nodes, nodes.count()), "node")
+    bags = components(ties(kept.select(F.explode("sigs").alias("sig"), "node")).select("a", "b"))
     links = links_in(docs, bags, like, id_col, text_col)
     # Of each class: its node, and the component of that.
     nodes = sets.groupBy("h1", "h2", "n").agg(F.min("id").alias("node"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
