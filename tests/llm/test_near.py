@@ -5,6 +5,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewatch.llm import near_copies, substring_dedup
@@ -140,6 +141,66 @@ def test_exact_passages_of_the_corpus(frame, corpus):
     assert shared <= found
 
 
+def altered_passages(seed):
+    """Pairs of passages: 60 words with one inserted, 100 with two inserted, 100
+    with 6 replaced, 150 with runs inserted, deleted and replaced."""
+    choose = random.Random(seed)
+    words = lambda n: [f"u{choose.randrange(10**6)}" for _ in range(n)]
+    for n, changes in (
+        (60, [(30, 0, 1)]), (60, [(30, 1, 0)]), (100, [(33, 0, 1), (66, 0, 1)]), (100, [(47, 6, 6)]),
+        (150, [(40, 0, 5), (100, 2, 0)]), (150, [(75, 9, 9)]), (120, [(60, 12, 0)]), (120, [(60, 0, 12)]),
+    ):
+        one = words(n)
+        two = list(one)
+        for place, gone, new in reversed(changes):
+            two[place : place + gone] = words(new)
+        a, b = brute.shingles(" ".join(one), 5), brute.shingles(" ".join(two), 5)
+        assert len(a & b) >= 0.8 * len(a | b)
+        yield one, two, words
+
+
+def test_passages_with_inserted_deleted_and_replaced_runs():
+    rng = np.random.default_rng(9)
+    for one, two, words in altered_passages(8):
+        # Seen from a minimum in the middle of each shared run.
+        width = 2 * substring_dedup.AROUND + substring_dedup.SHINGLE
+        code = {w: int(rng.integers(1, 1 << 15)) for w in one + two}
+        rows = []
+        joint = [w for w in one if w in set(two)]
+        for function, word in enumerate((joint[12], joint[len(joint) // 2 + 10], joint[-18])):
+            c, d = one.index(word), two.index(word)
+            seen = np.zeros((2, width), np.uint16)
+            for k, (text, at) in enumerate(((one, c), (two, d))):
+                for place in range(width):
+                    if 0 <= at - substring_dedup.AROUND + place < len(text):
+                        seen[k, place] = code[text[at - substring_dedup.AROUND + place]]
+            for _, shift, begin, end, equal in substring_dedup.stretches(seen[:1], seen[1:]):
+                b, e = int(begin[0]) - substring_dedup.AROUND, int(end[0]) - substring_dedup.AROUND
+                bits = np.packbits(equal[0], bitorder="little").tobytes()
+                rows.append((1, 2, function, c + b, c + e, d + b + shift, d + e + shift, 0, c, 200, 0, d, 200, bits))
+        rows.sort(key=lambda r: (r[3], r[5]))
+        names = [x.split()[0] for x in substring_dedup._COLLISIONS.split(",")]
+        batch = pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows])
+        schema = pa.schema([(x.split()[0], pa.int64()) for x in substring_dedup._PASSAGES.split(",")])
+        got = [r for out in substring_dedup._passages(iter([batch]), schema, 50) for r in out.to_pylist()]
+        assert [(r["start"], r["stop"], r["other_start"], r["other_stop"]) for r in got] == [(0, len(one), 0, len(two))]
+
+
+def test_altered_passages_of_documents(frame):
+    rows, want = [], 0
+    for seed in range(4):
+        for one, two, words in altered_passages(seed):
+            i = 1000 + len(rows)
+            rows += [(i, " ".join(words(20) + one + words(20))), (i + 1, " ".join(words(40) + two + words(7)))]
+            want += 2
+    found = Counter()
+    for r in substring_dedup.repeated_passages(frame(rows)).collect():
+        assert {r["id"] // 2, r["other_id"] // 2} == {r["id"] // 2}
+        assert min(r["stop"] - r["start"], r["other_stop"] - r["other_start"]) >= 50
+        found[r["id"]] += 1
+    assert len(found) == want
+
+
 def test_compact_windows_hold_every_minimum():
     choose = random.Random(7)
     texts = [" ".join(choose.choices("abcdefgh", k=n)) for n in (3, 60, 200)]
