@@ -201,6 +201,19 @@ def test_altered_passages_of_documents(frame):
     assert len(found) == want
 
 
+def test_shared_text_before_a_stock_sentence(frame):
+    choose = random.Random(10)
+    words = lambda n: [f"s{choose.randrange(10**6)}" for _ in range(n)]
+    stock, rows = words(45), []
+    for i in range(40):
+        own = words(12)
+        rows += [(2 * i, " ".join(words(30) + own + stock + words(30))), (2 * i + 1, " ".join(words(12) + own + stock + words(50)))]
+    rows += [(i, " ".join(words(60) + stock + words(60))) for i in range(100, 400)]
+    got = substring_dedup.repeated_passages(frame(rows)).collect()
+    found = {(r["id"], r["other_id"], r["start"], r["stop"]) for r in got}
+    assert found == {x for i in range(40) for x in ((2 * i, 2 * i + 1, 30, 87), (2 * i + 1, 2 * i, 12, 69))}
+
+
 def test_compact_windows_hold_every_minimum():
     choose = random.Random(7)
     texts = [" ".join(choose.choices("abcdefgh", k=n)) for n in (3, 60, 200)]
