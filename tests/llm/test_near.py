@@ -214,6 +214,22 @@ def test_shared_text_before_a_stock_sentence(frame):
     assert found == {x for i in range(40) for x in ((2 * i, 2 * i + 1, 30, 87), (2 * i + 1, 2 * i, 12, 69))}
 
 
+def test_every_place_of_a_passage_is_reported(frame):
+    choose = random.Random(11)
+    words = lambda n: [f"r{choose.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], set()
+    for i in range(20):
+        passage = words(90)
+        changed = [*passage[:45], *words(1), *passage[46:]]
+        places = [30, 180, 330, 480]
+        rows.append((2 * i, " ".join(x for _ in places for x in words(30) + passage + words(30))))
+        rows.append((2 * i + 1, " ".join(words(11) + changed + words(40))))
+        want |= {(2 * i, 2 * i + 1, p, 11) for p in places} | {(2 * i + 1, 2 * i, 11, p) for p in places}
+    got = substring_dedup.repeated_passages(frame(rows)).collect()
+    found = {(r["id"], r["other_id"], r["start"], r["other_start"]) for r in got if r["stop"] - r["start"] == 90}
+    assert found == want
+
+
 def test_compact_windows_hold_every_minimum():
     choose = random.Random(7)
     texts = [" ".join(choose.choices("abcdefgh", k=n)) for n in (3, 60, 200)]
