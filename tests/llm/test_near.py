@@ -207,11 +207,11 @@ def test_shared_text_before_a_stock_sentence(frame):
     stock, rows = words(45), []
     for i in range(40):
         own = words(12)
-        rows += [(2 * i, " ".join(words(30) + own + stock + words(30))), (2 * i + 1, " ".join(words(12) + own + stock + words(50)))]
+        rows += [(i, " ".join(words(30) + own + stock + words(30))), (1000 + i, " ".join(words(12) + own + stock + words(50)))]
     rows += [(i, " ".join(words(60) + stock + words(60))) for i in range(100, 400)]
     got = substring_dedup.repeated_passages(frame(rows)).collect()
     found = {(r["id"], r["other_id"], r["start"], r["stop"]) for r in got}
-    assert found == {x for i in range(40) for x in ((2 * i, 2 * i + 1, 30, 87), (2 * i + 1, 2 * i, 12, 69))}
+    assert found == {x for i in range(40) for x in ((i, 1000 + i, 30, 87), (1000 + i, i, 12, 69))}
 
 
 def test_every_place_of_a_passage_is_reported(frame):
@@ -230,6 +230,29 @@ def test_every_place_of_a_passage_is_reported(frame):
     assert found == want
 
 
+def test_a_context_cut_by_the_end_of_a_partition():
+    width = 2 * substring_dedup.AROUND + substring_dedup.SHINGLE
+    marks = np.random.default_rng(12).integers(1, 1 << 15, (2, width)).astype(np.uint16)
+    middle = slice(substring_dedup.AROUND, substring_dedup.AROUND + substring_dedup.SHINGLE)
+    marks[1, middle] = marks[0, middle]
+    row = lambda doc, k: (7, k, doc, 0, 0, 60, 200, marks[k].tobytes())
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    schema = lambda text: pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in text.split(",")])
+    windows, extended = schema(substring_dedup._WINDOWS), schema(f"{substring_dedup._COLLISIONS}, sig bigint, ahead bigint, around binary")
+    pairs, ends = set(), []
+    batch = lambda rows: pa.RecordBatch.from_pylist([dict(zip(windows.names, r, strict=True)) for r in rows], windows)
+    for part in ([row(1, 0), row(2, 1), row(3, 1)], [row(4, 1), row(5, 1)]):
+        for out in substring_dedup._collisions(iter([batch(part)]), extended, windows):
+            for r in out.to_pylist():
+                if r["b"] is None:
+                    ends.append((r["sig"], r["ahead"], r["a"], r["function"], r["l"], r["c"], r["r"], r["around"]))
+                elif r["stop"] - r["start"] >= 50:
+                    pairs.add((r["a"], r["b"]))
+    for out in substring_dedup._collisions(iter([batch(sorted(ends))]), schema(substring_dedup._COLLISIONS), None):
+        pairs |= {(r["a"], r["b"]) for r in out.to_pylist() if r["stop"] - r["start"] >= 50}
+    assert {(2, 3), (4, 5), (2, 4)} <= pairs
+
+
 def test_compact_windows_hold_every_minimum():
     choose = random.Random(7)
     texts = [" ".join(choose.choices("abcdefgh", k=n)) for n in (3, 60, 200)]
