@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup, license_scan, near_copies, quality, sentencepieces, substring_dedup, token_counts, toxicity, url_filter
+from tidewatch.llm import decontaminate, exact_dedup, fertility, license_scan, near_copies, quality, sentencepieces, substring_dedup, token_counts, toxicity, url_filter
 
 from tidewatch.llm.labels import remainder
 
@@ -25,6 +25,7 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 TOKENIZER = "piece_bpe_32k.model"
+RANKS = "byte_bpe_50k.tiktoken"
 TOKEN_LIMIT = 4096
 
 
@@ -103,6 +104,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fertility.quality_rules(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS),
+        public_tokenizers.PATTERN,
+    )
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
@@ -114,6 +123,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_quality_rules": op12_quality_rules,
     "pipeline": corpus_pipeline.run,
 }
 
