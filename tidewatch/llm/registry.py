@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup, fertility, license_scan, near_copies, quality, sentencepieces, substring_dedup, token_counts, toxicity, url_filter
+from tidewatch.llm import decontaminate, exact_dedup, fertility, license_scan, near_copies, quality, sentencepieces, spelling, substring_dedup, token_counts, toxicity, url_filter
 
 from tidewatch.llm.labels import remainder
 
@@ -104,6 +104,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fertility.quality_rules(
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS),
@@ -123,10 +127,24 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_quality_rules": op12_quality_rules,
     "pipeline": corpus_pipeline.run,
 }
 
+# The unsigned crc32 of a text x, byte by byte, with the 256 remainders `t` of a table crc.
+CRC = """list_reduce(
+    list_prepend(4294967295, list_transform(range(0, octet_length(encode({x}))),
+                 lambda i: ('0x' || substr(hex(encode({x})), 2 * i + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))"""
+CRC_TABLE = """crc as (select list(r order by b) t from (
+    select b, list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) r
+    from (select unnest(range(256)) b)))"""
+
+# Words as single bytes, since the SQL function counts edits of bytes.
+WIDE = "".join(map(chr, range(0xC0, 0x100)))
+NARROW = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).islower() and chr(c) != "'")[: len(WIDE)]
+
 LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
@@ -146,6 +164,23 @@ ORACLE_SQL = {
                 row_number() over (partition by page_id order by length(rhost || rpath) desc nulls last) n
               from h left join r on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath))
         select page_id, host, path, rule, coalesce(rverdict, 'allow') verdict from j where n = 1""",
+    "op11_spelling_variants": rf"""
+        with recursive {CRC_TABLE},
+        runs as (select doc_id, w, count(*) c from (
+                   select doc_id, unnest(regexp_extract_all({LOWER.format('text')}, '[a-zÀ-ÿ]+')) w from documents)
+                 where length(w) >= 6 group by 1, 2),
+        coded as (select w, c, xor({CRC.format(x="(coalesce(doc_id::varchar, '') || ':' || w)")}, 4294967295) h from runs, crc),
+        kept as (select case when h % 199 = 0 then substr(w, 1, (h % length(w))::int) || substr(w, (h % length(w))::int + 2)
+                        else w end word, c from coded),
+        words as (select word, sum(c)::bigint n, translate(word, '{WIDE}', '{NARROW}') b from kept where length(word) >= 6 group by 1 having sum(c) >= 5),
+        near as (select a.word, a.n, b.word other, b.n m from words a join words b
+                 on abs(length(a.word) - length(b.word)) <= 1 and a.word <> b.word and levenshtein(a.b, b.b) = 1),
+        best as (select word, count(*) n_near, arg_min(other, (-m, other)) other, max(m) m from near group by 1),
+        found as (select words.word, n, coalesce(n_near, 0) n_near, case when m >= 5 * n then other end form,
+                         case when m >= 5 * n then m end form_n from words left join best using (word)),
+        walk as (select word, word root, form next from found
+                 union all select walk.word, walk.next, found.form from walk join found on found.word = walk.next)
+        select found.word, form, root, n, n_near, form_n from found join walk on walk.word = found.word and next is null""",
     "op8_decontamination": r"""
         with d as (select doc_id, regexp_extract_all({d}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from documents),
         b as (select item_id, regexp_extract_all({d}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from benchmark),
