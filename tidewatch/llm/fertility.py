@@ -397,8 +397,9 @@ def fences(found: DataFrame) -> DataFrame:
     sound = found.where("kept").select(
         "language", "n_tokens", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in FENCED])).alias("m")
     ).select("language", "n_tokens", "m.*")
-    medians = _quantiles(sound, {"median": 0.5}).where(F.col("n") >= LEAST_TEXTS).drop("n")
-    apart = sound.join(medians, ["language", "measure"]).withColumn("value", _deviation("value", "median"))
+    medians = cut(_quantiles(sound, {"median": 0.5}).where(F.col("n") >= LEAST_TEXTS).drop("n"))
+    narrow = broadcast_if(medians, medians.count())  # a language may hold most texts
+    apart = sound.join(narrow, ["language", "measure"]).withColumn("value", _deviation("value", "median"))
     spread = _quantiles(apart.select("language", "measure", "value"), {"q1": 0.25, "q3": 0.75})
     width = F.greatest(F.col("q3") - F.col("q1"), F.col("median") * LEAST_SPREAD) * FENCE
     limits = spread.join(medians, ["language", "measure"]).select(
