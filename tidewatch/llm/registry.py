@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, exact_dedup, fertility, license_scan, near_copies, quality, sentencepieces, spelling, substring_dedup, token_counts, toxicity, url_filter
+from tidewatch.llm import decontaminate, exact_dedup, fertility, license_scan, near_copies, prefix_trie, quality, sentencepieces, spelling, substring_dedup, token_counts, toxicity, url_filter
 
 from tidewatch.llm.labels import remainder
 
@@ -116,6 +116,10 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_url_filter": op2_url_filter,
@@ -129,6 +133,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_quality_rules": op12_quality_rules,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -181,6 +186,31 @@ ORACLE_SQL = {
         walk as (select word, word root, form next from found
                  union all select walk.word, walk.next, found.form from walk join found on found.word = walk.next)
         select found.word, form, root, n, n_near, form_n from found join walk on walk.word = found.word and next is null""",
+    "op13_prefix_trie": f"""
+        with {CRC_TABLE},
+        turns as (select conv_id, md5(coalesce(role, '') || chr(0) || coalesce(text, '')) t, length(coalesce(text, '')) chars,
+                         row_number() over (partition by conv_id order by turn nulls first, role, text) i
+                  from conversations where conv_id is not null),
+        convs as (select conv_id, xor({CRC.format(x="conv_id::varchar")}, 4294967295) % 6 h
+                  from (select distinct conv_id from turns), crc),
+        parts as (select c.conv_id, i, 0 own, t, chars from convs c join turns b on b.conv_id = c.conv_id - c.conv_id % 100 and i <= h
+                  union all
+                  select c.conv_id, i, 1, t, chars from convs c join turns using (conv_id) where i > h),
+        built as (select conv_id, row_number() over w d, string_agg(t, '') over w k, chars
+                  from parts window w as (partition by conv_id order by own, i)),
+        paths as (select conv_id, d, k, chars from built union all select conv_id, 0, '', 0 from convs),
+        lens as (select conv_id, max(d) n from paths group by 1),
+        nodes as (select k, d, min(p.conv_id) conv_id, any_value(chars) chars, count(*) n_convs,
+                         sha256(coalesce(string_agg(p.conv_id::varchar, ',' order by p.conv_id) filter (where lens.n = d), '')) ends_sha256
+                  from paths p join lens using (conv_id) group by k, d),
+        kids as (select a.k, a.d, count(b.k) n_children, any_value(b.k) from nodes a
+                 left join nodes b on b.d = a.d + 1 and left(b.k, 32 * a.d::int) = a.k group by a.k, a.d),
+        up as (select left(b.k, 32 * u::int) k, count(*) filter (where n_children = 0) n_leaves,
+                      sum((n_convs - 1) * chars)::bigint saved_tokens
+               from (select *, unnest(range(0, d + 1)) u from nodes join kids using (k, d)) b group by 1)
+        select a.conv_id, a.d depth, parent.conv_id parent_conv_id, a.n_convs, n_children, n_leaves, saved_tokens, a.ends_sha256
+        from nodes a join kids using (k, d) join up using (k)
+        left join nodes parent on parent.d = a.d - 1 and parent.k = left(a.k, 32 * (a.d::int - 1)) and a.d > 0""",
     "op8_decontamination": r"""
         with d as (select doc_id, regexp_extract_all({d}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from documents),
         b as (select item_id, regexp_extract_all({d}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from benchmark),
