@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import (
     WORDS, brute_matches, plan, post, posts_of, random_text, rows, watch_list,
 )
+from tidewatch import schemas
 from tidewatch.operators import match
 from tidewatch.operators.match import match_keywords, match_posts, watch_matrix
 from tidewatch.operators.newest import newest_index, newest_posts
@@ -110,7 +111,7 @@ def test_match_equals_nested_loops(spark, seed, n):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_sequence_route_equals_broadcast_route(spark, seed):
+def test_long_list_routes_equal_broadcast_route(spark, seed):
     rng = random.Random(seed)
     data = [post(str(i), title=random_text(rng, 3), body=rng.choice([None, random_text(rng)])) for i in range(60)]
     keywords = [w.upper() for w in WORDS] + ["tion", "", "ta b", "absent", "q", "語", "the", "the", None, "a.*b"]
@@ -119,26 +120,48 @@ def test_sequence_route_equals_broadcast_route(spark, seed):
     small = match_keywords(texts, ["title", "selftext"], watch, "key", ["id"])
     # 0: every keyword is looked up; 14: the short ones are tested.
     assert 0 < watch.short_keywords <= 14 < watch.keyword_size.rows
-    for max_tested in (0, 14):
-        large = match_keywords(texts, ["title", "selftext"], watch, "key", ["id"], max_tested=max_tested)
+    for max_tested, max_automaton in ((0, 0), (14, 0), (0, 1000)):
+        large = match_keywords(texts, ["title", "selftext"], watch, "key", ["id"], max_tested, max_automaton)
         assert rows(small, "id", "key") == rows(large, "id", "key")
         assert small.columns == large.columns
 
 
-def test_sequence_route_with_rows_given_twice(spark):
+@pytest.mark.parametrize("max_automaton", [0, 1000])
+def test_long_list_routes_with_rows_given_twice(spark, max_automaton):
     watch = watch_list(spark, ["a", "a"], ["alpha"])
     texts = newest_posts(posts_of(spark, [post("1", title="Alpha beta")]), watch, None)
-    large = match_keywords(texts, ["title", "selftext"], watch, "key", ["id"], max_tested=0)
+    large = match_keywords(texts, ["title", "selftext"], watch, "key", ["id"], 0, max_automaton)
     assert rows(large, "id", "key") == [("1", "alpha")] * 2
 
 
 def test_sequence_route_does_not_pair_everything(spark):
     watch = watch_list(spark, ["a"], ["alpha"])
     texts = posts_of(spark, [post("1")]).content
-    text = plan(match_keywords(texts, ["title", "selftext"], watch, "key", ["id"], max_tested=0))
+    text = plan(match_keywords(texts, ["title", "selftext"], watch, "key", ["id"], 0, 0))
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_automaton_shuffles_no_text(spark, root):
+    """A longer list is searched for where the texts are scanned."""
+    spark.createDataFrame([post(str(i), title="k alpha", body="gamma " * i) for i in range(20)], schemas.POSTS).write.parquet(f"{root}/long")
+    watch = watch_list(spark, ["a"], [f"k{i}" for i in range(match.MAX_TESTED_KEYWORDS)] + ["gamma", "ALPHA", ""])
+    found = match_keywords(spark.read.parquet(f"{root}/long"), ["title", "selftext"], watch, "key", ["id"])
+    text = plan(found)
+    assert "ArrowEvalPython" in text and "SortMergeJoin" not in text and "NestedLoop" not in text
+    assert "Exchange" not in text.replace("BroadcastExchange", "")
+    assert found.count() == 19 + 20 + 20
+    # What is not asked for is not carried along.
+    counted = plan(found.groupBy("key").count())
+    exchange = counted.index("Exchange hashpartitioning")
+    assert "selftext" not in counted[:exchange].replace("lower(selftext", "")
+
+
+def test_automaton_without_any_keyword(spark):
+    watch = watch_list(spark, ["a"], [None])
+    texts = posts_of(spark, [post("1", title="k")]).content
+    assert match_keywords(texts, ["title"], watch, "key", ["id"], 0).collect() == []
+
+
 def test_incremental_is_strictly_newer_and_empty_without_stored_rows(spark):
     data = [post("1", title="k", at=10.0), post("2", title="k", at=20.0), post("3", title="k", at=30.0)]
     watch = watch_list(spark, ["a"], ["k"])

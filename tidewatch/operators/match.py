@@ -1,15 +1,19 @@
 """Keyword matching: which texts contain which watched keywords.
 
-A keyword matches when it occurs anywhere in a text, case folded. Up to a
-checked size the keywords are broadcast and tested in place. Beyond it, texts
-and keywords meet by an equi-join on a short character sequence both contain,
-and each meeting is then verified. Both ways give the same rows.
+A keyword matches when it occurs anywhere in a text, case folded. Short lists
+are broadcast and tested one by one. Longer ones become one automaton, broadcast
+behind a size check, that reads every text once, where it is scanned: no text is
+shuffled. Beyond that size, texts and keywords meet by an equi-join on a short
+character sequence both contain, and each meeting is then verified. All ways
+give the same rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +21,10 @@ from tidewatch.operators.newest import Posts, newest_posts
 from tidewatch.sizes import broadcast_if
 from tidewatch.sources.watchlist import SEQUENCE, WatchList
 
-# Above this many keywords, testing each on each text costs more than finding
-# candidates by shared sequences (measured: even at about 700).
+# Up to this many keywords are tested one by one on each text.
 MAX_TESTED_KEYWORDS = 700
+# An automaton takes about 60 bytes for every byte of its keywords, at most.
+MAX_AUTOMATON_BYTES = 4 * 1024 * 1024
 
 
 def _any_contains(texts: list[Column], keyword: Column) -> Column:
@@ -33,11 +38,15 @@ def match_keywords(
     out: str,
     row_key: list[str],
     max_tested: int = MAX_TESTED_KEYWORDS,
+    max_automaton: int = MAX_AUTOMATON_BYTES,
 ) -> DataFrame:
     """`df` once per keyword found in any of the columns `texts`, with the
     keyword in column `out`. `row_key` names a unique key of `df`."""
-    if watch.keyword_size.broadcastable and watch.keyword_size.rows <= max_tested:
+    size = watch.keyword_size
+    if size.broadcastable and size.rows <= max_tested:
         return _match_broadcast(df, texts, watch.keywords, out)
+    if size.broadcastable and size.bytes <= max_automaton:
+        return _match_by_automaton(df, texts, watch.keywords, out)
     if watch.short_keywords > max_tested:
         return _match_by_sequence(df, texts, watch, watch.keywords, range(SEQUENCE + 1), out, row_key)
     # Short keywords are few: test those, look up the others.
@@ -57,6 +66,52 @@ def _match_broadcast(df: DataFrame, texts: list[str], keywords: DataFrame, out:
     return df.withColumns(folded).join(F.broadcast(words), hit).drop("_keyword", *folded)
 
 
+def _match_by_automaton(df: DataFrame, texts: list[str], keywords: DataFrame, out: str) -> DataFrame:
+    """One pass over each text finds all keywords (Aho and Corasick, 1975).
+
+    Only the folded texts go to the Python worker, in Arrow batches, and only
+    numbers of keywords come back; the row itself stays in the JVM.
+    """
+    spark = df.sparkSession
+    listed = keywords.where(F.col("keywords").isNotNull()).select("keywords", F.lower("keywords")).collect()
+    number = {folded: place for place, folded in enumerate(sorted({folded for _, folded in listed}))}
+    shared = spark.sparkContext.broadcast(number)
+    run_id = uuid.uuid4().hex
+
+    def automaton():
+        """Built once in a worker, which serves one query after another."""
+        import ahocorasick
+
+        kept = getattr(ahocorasick, "_tidewatch", (None, None))
+        if kept[0] != run_id:
+            made = ahocorasick.Automaton()
+            for folded, place in shared.value.items():
+                if folded:
+                    made.add_word(folded, place)
+            made.make_automaton()
+            kept = ahocorasick._tidewatch = run_id, made
+        return kept[1]
+
+    def found(*columns: pa.Array) -> pa.Array:
+        made = automaton()
+        empty = {shared.value[""]} if "" in shared.value else set()
+        out = []
+        for row in zip(*[c.to_pylist() for c in columns], strict=True):
+            present = [text for text in row if text is not None]
+            met = set(empty) if present else set()
+            if len(made):
+                for text in present:
+                    met.update([place for _, place in made.iter(text)])
+            out.append(list(met))
+        return pa.array(out, pa.list_(pa.int32()))
+
+    hits = F.arrow_udf(found, "array<int>")(*[F.lower(F.col(c)) for c in texts])
+    # As many rows as the list has of a keyword, in any case.
+    table = pa.table({"_place": pa.array([number[f] for _, f in listed], pa.int32()), out: pa.array([k for k, _ in listed], pa.string())})
+    names = F.broadcast(spark.createDataFrame(table))
+    return df.withColumn("_place", F.explode(hits)).join(names, "_place").drop("_place")
+
+
 def _sequences(text: Column, sizes: range) -> Column:
     """All character sequences of the given sizes in `text`, with repeats."""
     parts = [
