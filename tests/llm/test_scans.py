@@ -196,3 +196,27 @@ def test_encoding_frames(frame, odd):
     trips = sentencepieces.round_trips(frame(odd), MODEL).collect()
     assert all(r["round_trip"] for r in trips) and len(trips) == len(odd)
     assert sentencepieces.with_ids(frame([]), MODEL).collect() == []
+
+
+def test_contamination_by_items_without_id(spark, frame):
+    """Items without an id are one item more, also where another has the same text."""
+    long, short = " ".join(f"w{i}" for i in range(14)), "three short words"
+    rows = [(1, f"x {long} y"), (2, f"{short} and"), (3, f"{short} {long}"), (4, "clean"), (5, None)]
+    for known, names in (([7], ["7"]), ([], []), ([None], []), ([7, 9, None], ["7", "9"])):
+        ids = [None, *known]
+        items = [(i, text) for i in ids for text in (long, short)]
+        benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+        got = {r["id"]: r for r in decontaminate.contamination(frame(rows), benchmark).collect()}
+        want = {1: 14, 2: 3, 3: 17, 4: 0, 5: 0}
+        assert {i: r["n_hit"] for i, r in got.items()} == want
+        for i, hit in want.items():
+            own = names if hit else []
+            assert got[i]["n_items"] == (len(own) + 1 if hit else 0)
+            assert got[i]["items"] == own
+            assert got[i]["items_sha256"] == hashlib.sha256(",".join(own).encode()).hexdigest()
+
+
+def test_contamination_of_nothing(spark, frame):
+    benchmark = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
+    assert decontaminate.contamination(frame([]), benchmark).collect() == []
+    assert decontaminate.decontaminated(frame([]), benchmark).collect() == []

@@ -81,8 +81,8 @@ class Automaton:
                     while self.lengths[self.links[state]] >= window:
                         state = self.links[state]
                     items_of.setdefault(state, set()).add(item)
-        self.items = {state: tuple(sorted(found)) for state, found in items_of.items()}
-        self.short = {state: (n, tuple(sorted(found))) for state, (n, found) in short.items()}
+        self.items = {state: tuple(found) for state, found in items_of.items()}
+        self.short = {state: (n, tuple(found)) for state, (n, found) in short.items()}
         return self
 
     def _new(self, length: int, link: int, moves: dict[int, int]) -> int:
@@ -204,7 +204,8 @@ def contamination(
     window), n_items and items (the items with occurring windows, an array).
 
     A null or wordless text has no words; an empty benchmark hits nothing;
-    items without an id or repeated ones count by id, those without id as one.
+    repeated items count once by their id, those without an id together as one
+    that n_items counts and that adds no name to items.
     """
     made = automata(benchmark, window)
 
@@ -223,7 +224,7 @@ def contamination(
             "id": ids,
             "n_words": words.counts,
             "n_hit": np.diff(summed[words.bounds]),
-            "n_items": [len(x) for x in names],
+            "n_items": [len(own) for own in found],
             "items": names,
             "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names],
         }
