@@ -269,6 +269,38 @@ ORACLE_SQL: dict[str, str] = {
           union all select '') k on contains(lower(title), keyword) or contains(lower(selftext), keyword)
         where rn <= 500 and created_utc > {CUTOFF} group by 1"""
     ),
+    "list_rejects": """
+        select line, kept, count(*) n from (
+          select case when doc_id % 4 = 0 then source || ', ' || lang else source end line, doc_id % 4 <> 0 kept from documents)
+        group by 1, 2""",
+    "list_fingerprints": _sql(
+        f"""select name, not exists(from diff where diff.name = names.name) same
+            from (values ('shuffled'), ('added'), ('copied'), ('changed')) names(name)"""
+    ).replace("\nselect name", f""",
+        lists as (select 'shuffled' as name, 'old' side, lang v from documents
+          union all select 'shuffled', 'new', lang from documents
+          union all select 'added', 'old', subreddit_name from ({_OLD}) union all select 'added', 'new', subreddit_name from posts
+          union all select 'copied', side, source from documents, (values ('old'), ('new')) s(side)
+          union all (select 'copied', 'new', source from documents limit 1)
+          union all select 'changed', 'old', source from documents
+          union all select 'changed', 'new', case when doc_id = 7 then 'other' else source end from documents),
+        diff as (select name, v from lists group by 1, 2
+          having count(*) filter (side = 'old') <> count(*) filter (side = 'new'))
+        select name"""),
+    "snapshot_changes": _sql(
+        """select coalesce(a.id, b.id) id, coalesce(a."key", b."key") "key",
+             case when a.id is null then 'inserted' when b.id is null then 'deleted' else 'updated' end change
+           from submissions_t0 a full join (
+             select * replace (case when cast(id as bigint) % 3 = 0 then post_title || '!' else post_title end as post_title)
+             from submissions where cast(id as bigint) % 5 <> 0) b on a.id = b.id and a."key" = b."key"
+           where a.id is null or b.id is null or a is distinct from b"""
+    ),
+    "stream_submissions": _sql(
+        f"""select subreddit_name, keyword "key", title post_title, id, permalink PermaLink, num_comments Comments,
+              selftext Self_text, created_utc time_utc, upvote_ratio
+            from posts join kw on contains(lower(title), lower(keyword)) or contains(lower(selftext), lower(keyword))
+            where subreddit_name in (select subreddit from subs) and created_utc > {CUTOFF}"""
+    ),
     "newest_k_large": _newest_lines("cast(date_diff('day', date '1970-01-01', cast(l_shipdate as date)) * 86400 as double)"),
     "newest_k_one_hour": _newest_lines("cast(year(l_shipdate) as double)"),
     "comments_unbounded": _sql("select * from direct_now"),

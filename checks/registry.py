@@ -9,16 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import CUTOFF, FIRST_RUN, LEXICON, MODIFIERS, Inputs
+from tidewatch import schemas
 from tidewatch.functions.sentiment import with_sentiment
 from tidewatch.functions.time import local_timestamp, utc_text
 from tidewatch.operators import changes, comments as comment_ops, match, merge
 from tidewatch.operators.newest import newest_index
 from tidewatch.operators.topk import newest_k
 from tidewatch.plans import bronze, decisions, digest, full_run, gold, growth, silver
-from tidewatch.session import scratch_dir
+from tidewatch.session import cut, scratch_dir
 from tidewatch.sources import jdbc, tables, watchlist
 from tidewatch.sources.snapshots import SnapshotTables
 from tidewatch.sources.watchlist import WatchList
+from tidewatch.streaming import stateful
+from tidewatch.streaming.follow import read_post_stream
 
 NEWEST = 30
 TOP = 100
@@ -85,6 +88,34 @@ def config_round_trip(i: Inputs) -> DataFrame:
     return stored.groupBy("line").agg(F.count("*").alias("n")).crossJoin(F.broadcast(same))
 
 
+@query
+def list_rejects(i: Inputs) -> DataFrame:
+    """Lines of a list that hold a comma, told from the others."""
+    path = f"{scratch_dir(i.spark, 'rejects')}/list"
+    line = F.when(F.col("doc_id") % 4 == 0, F.concat_ws(", ", "source", "lang")).otherwise(F.col("source"))
+    i.documents.select(line.alias("line")).write.text(path)
+    kept, rejected = watchlist.read_list_checked(i.spark, path, "line")
+    lines = kept.select("line", F.lit(True).alias("kept")).unionAll(rejected.select(F.col(watchlist.REJECTED), F.lit(False)))
+    return lines.groupBy("line", "kept").agg(F.count("*").alias("n"))
+
+
+@query
+def list_fingerprints(i: Inputs) -> DataFrame:
+    """Whether lists are the same, by fingerprints: the same rows in another
+    order, rows added, one more copy of a row, and a value changed."""
+    lists = {
+        "shuffled": (i.documents.select("lang"), i.documents.select("lang").orderBy(F.desc("lang"))),
+        "added": (i.index.where(F.col("created_utc") <= FIRST_RUN).select("subreddit_name"), i.index.select("subreddit_name")),
+        "copied": (i.documents.select("source"), i.documents.select("source").unionAll(i.documents.select("source").limit(1))),
+        "changed": (i.documents.select("source"), i.documents.select(F.when(F.col("doc_id") == 7, "other").otherwise(F.col("source")))),
+    }
+    rows = [
+        changes.same_fingerprint(changes.list_fingerprint(old), changes.list_fingerprint(new), "same").select(F.lit(name).alias("name"), "same")
+        for name, (old, new) in lists.items()
+    ]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])
+
+
 @query
 def config_select(i: Inputs) -> DataFrame:
     toxic = i.table("labels").where("toxic = 1").select("doc_id", F.lit(True).alias("toxic"))
@@ -139,7 +170,8 @@ def submissions_incremental(i: Inputs) -> DataFrame:
 @query
 def merge_submissions(i: Inputs) -> DataFrame:
     # Every match of today against the earlier ones: matched and new rows.
-    return merge.merge_upsert(_submissions_t0(i), submissions_full(i), bronze.MERGE_KEYS)
+    # Both are stored first, as a run has them: a merge names its inputs several times.
+    return merge.merge_upsert(cut(_submissions_t0(i)), cut(submissions_full(i)), bronze.MERGE_KEYS)
 
 
 @query
@@ -204,6 +236,21 @@ def table_by_name(i: Inputs) -> DataFrame:
     return found
 
 
+@query
+def stream_submissions(i: Inputs) -> DataFrame:
+    """All matches, found by a stream of post files; posts that come again are found once."""
+    root = scratch_dir(i.spark, "stream")
+    columns = ["subreddit_name", "id", "title", "permalink", "num_comments", "selftext", "created_utc", "upvote_ratio"]
+    posts = i.wide_posts().select(*columns)
+    again = posts.where(F.col("id").cast("bigint") % 3 == 0)
+    for part in (posts, again):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/posts")
+    arriving = read_post_stream(i.spark, f"{root}/posts", 1)
+    done = stateful.follow_matches(arriving, i.watch, f"{root}/found", f"{root}/checkpoint", CUTOFF, "365 days")
+    done.awaitTermination()
+    return i.spark.read.schema(schemas.SUBMISSIONS).parquet(f"{root}/found")
+
+
 # --- comments --------------------------------------------------------------
 
 
@@ -393,6 +440,17 @@ def snapshot_counts(i: Inputs) -> DataFrame:
     return two_runs(i)[0].counts(full_run.SUBMISSIONS, [0, 1])
 
 
+@query
+def snapshot_changes(i: Inputs) -> DataFrame:
+    """What two versions differ in: new rows, changed ones, and some that went."""
+    store = SnapshotTables(i.spark, scratch_dir(i.spark, "feed"))
+    number = F.col("id").cast("bigint")
+    store.overwrite(_submissions_t0(i), "table")
+    title = F.when(number % 3 == 0, F.concat("post_title", F.lit("!"))).otherwise(F.col("post_title"))
+    store.overwrite(submissions_full(i).where(number % 5 != 0).withColumn("post_title", title), "table")
+    return store.changes("table", 0, 1, bronze.MERGE_KEYS)
+
+
 @query
 def snapshot_growth(i: Inputs) -> DataFrame:
     return growth.snapshot_growth(two_runs(i)[0].counts(full_run.INDIRECT, [0, 1]), 1)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from tidewatch.plans.growth import snapshot_growth, snapshot_new_rows, update_counts
 from tidewatch.session import scratch_dir
-from tidewatch.sources import jdbc, tables
+from tidewatch.sources import jdbc, tables, watchlist
 from tidewatch.sources.snapshots import SnapshotTables
 from tidewatch.sources.watchlist import (
     WatchList, first_recipient, read_csv_raw, read_list, read_stored_list, select_config_files, write_list,
@@ -278,3 +278,28 @@ def test_delta_is_optional(spark, root):
     except ImportError:
         with pytest.raises(RuntimeError, match="not installed"):
             DeltaTables(spark, root)
+
+
+def test_lines_that_are_not_one_value_come_back(spark, root):
+    lines = ["salt", "salt, pepper", '"salt, pepper"', "", "a,b,c", "ü", "  blank "]
+    with open(f"{root}/list.csv", "w") as out:
+        out.write("\n".join(lines) + "\n")
+    kept, rejected = watchlist.read_list_checked(spark, f"{root}/list.csv", "keywords")
+    assert sorted(r["keywords"] for r in kept.collect()) == sorted(["salt", "salt, pepper", "ü", "  blank "])
+    assert sorted((r["keywords"], r["_line"]) for r in rejected.collect()) == [("a", "a,b,c"), ("salt", "salt, pepper")]
+    # Without commas it reads what the plain reader reads.
+    plain = watchlist.read_list(spark, f"{root}/list.csv", "keywords").collect()
+    assert len(plain) == kept.count() + rejected.count()
+
+
+def test_change_feed_of_a_table(spark, store):
+    def table(rows):
+        return spark.createDataFrame(rows, "id string, n int")
+
+    store.overwrite(table([("1", 1), ("2", 2)]), "t")
+    store.append(table([("3", 3)]), "t")
+    store.overwrite(table([("1", 1), ("2", 9), ("4", 4)]), "t")
+    feed = lambda a, b: sorted(tuple(r) for r in store.changes("t", a, b, ["id"]).collect())
+    assert feed(0, 1) == [("3", "inserted")]
+    assert feed(1, 2) == [("2", "updated"), ("3", "deleted"), ("4", "inserted")]
+    assert feed(1, 1) == [] and feed(1, 0) == [("3", "deleted")]

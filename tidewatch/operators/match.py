@@ -182,7 +182,12 @@ def match_posts(
     """Bronze submissions: one row per (post, keyword) among the newest `n`
     posts per community that were created after `after`."""
     candidates = newest_posts(posts.newer_than(after), watch, n)
-    return match_keywords(candidates, ["title", "selftext"], watch, "key", ["id"]).select(
+    return as_submissions(match_keywords(candidates, ["title", "selftext"], watch, "key", ["id"]))
+
+
+def as_submissions(matched: DataFrame) -> DataFrame:
+    """Matched posts under the names of the bronze table."""
+    return matched.select(
         "subreddit_name",
         "key",
         F.col("title").alias("post_title"),

@@ -19,6 +19,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.operators.changes import row_changes
 from tidewatch.operators.merge import matched_keys, merge_upsert
 from tidewatch.sources.files import list_glob, path_exists, remove
 from tidewatch.sources.tables import require_same_schema
@@ -74,6 +75,14 @@ class SnapshotTables:
         versions = self.versions(table)
         return one in versions and versions.get(one) == versions.get(other)
 
+    def changes(self, table: str, before: int, after: int, keys: list[str]) -> DataFrame:
+        """The keys that version `after` has inserted, updated or deleted since
+        `before`, with `change`. Of versions that share a base only the rows
+        between them are read, which are new ones; others are compared."""
+        if before <= after and self.same_base(table, before, after):
+            return self.read(table, after, since=before).select(*keys, F.lit("inserted").alias("change"))
+        return row_changes(self.read(table, before), self.read(table, after), keys)
+
     def _part(self, table: str, base: int, part: int) -> str:
         return f"{self._folder(table)}/base={base}/part={part}"
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import schemas
+from tidewatch.session import cut
 from tidewatch.sizes import Size, measure
 
 # Names of the configuration files that are picked from a folder listing.
@@ -51,6 +52,24 @@ def read_list(spark: SparkSession, path: str, column: str) -> DataFrame:
     return spark.read.schema(schema).csv(path)
 
 
+REJECTED = "_line"
+
+
+def read_list_checked(spark: SparkSession, path: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """A headerless one-column CSV list, and the lines that are not one value.
+
+    A line with an unquoted comma has more fields than the list, of which
+    `read_list` keeps the first. Here such a line is left out, and comes back
+    whole in the second frame as `_line`, with what would have been read.
+    """
+    schema = schemas.StructType([schemas.StructField(c, schemas.StringType(), True) for c in (column, REJECTED)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    # Saved once, so that both frames come from one reading of the file.
+    read = cut(spark.read.schema(schema).options(**options).csv(path))
+    fits = F.col(REJECTED).isNull()
+    return read.where(fits).select(column), read.where(~fits)
+
+
 def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
     """A headerless CSV as strings `_c0`, `_c1`, ..."""
     return spark.read.option("header", False).csv(path)
