@@ -304,6 +304,7 @@ ORACLE_SQL: dict[str, str] = {
     "newest_k_large": _newest_lines("cast(date_diff('day', date '1970-01-01', cast(l_shipdate as date)) * 86400 as double)"),
     "newest_k_one_hour": _newest_lines("cast(year(l_shipdate) as double)"),
     "comments_unbounded": _sql("select * from direct_now"),
+    "comments_bucketed": _sql("select * from direct_now"),
     "sentiment_long_list": _sql(
         """select comment_id, body, case when body is not null then coalesce((
           select round(sum(cast(l.polarity as bigint) * 1000000000) / cast(count(*) * 1000000000 as double), 6)
@@ -336,6 +337,7 @@ ORACLE_SQL: dict[str, str] = {
     "comments_clean": _sql("select * from clean_now"),
     "times_utc_local": _sql(f"select id, {_times('created_utc')} from posts"),
     "silver_comments": _sql("select * from silver_comments_now"),
+    "silver_incremental": _sql("select * from silver_comments_now"),
     "silver_submissions": _sql("select * from silver_submissions_now"),
     "comment_sentiment": _sql(
         f"select comment_id, body, {_score('body')} comment_sentiment from raw_comments"

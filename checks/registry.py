@@ -15,7 +15,7 @@ from tidewatch.functions.time import local_timestamp, utc_text
 from tidewatch.operators import changes, comments as comment_ops, match, merge
 from tidewatch.operators.newest import newest_index
 from tidewatch.operators.topk import newest_k
-from tidewatch.plans import bronze, decisions, digest, full_run, gold, growth, silver
+from tidewatch.plans import bronze, decisions, digest, full_run, gold, growth, incremental, silver
 from tidewatch.session import cut, scratch_dir
 from tidewatch.sources import jdbc, tables, watchlist
 from tidewatch.sources.snapshots import SnapshotTables
@@ -265,6 +265,19 @@ def comments_unbounded(i: Inputs) -> DataFrame:
     return comment_ops.comments_direct(submissions_full(i), i.comments())
 
 
+@query
+def comments_bucketed(i: Inputs) -> DataFrame:
+    """Comments of posts from two catalog tables in equal buckets of the post's id, which meet without a shuffle."""
+    root, tag = scratch_dir(i.spark, "buckets"), uuid.uuid4().hex
+    stored = {}
+    for name, frame, key in (("posts", submissions_full(i), "id"), ("comments", i.comments(), "submission_id")):
+        table = f"tidewatch_{name}_{tag}"
+        tables.write_table(frame, table, path=f"{root}/{name}", bucket_by=[key], buckets=8)
+        stored[name] = tables.read_table(i.spark, table)
+        tables.drop_table(i.spark, table)  # the files, named by path, stay
+    return comment_ops.comments_direct(stored["posts"], stored["comments"])
+
+
 @query
 def comments_indirect(i: Inputs) -> DataFrame:
     return bronze.comments_indirect(i.posts(), i.comments(), i.watch, CUTOFF)
@@ -299,6 +312,24 @@ def silver_comments(i: Inputs) -> DataFrame:
     return silver.silver_comments(comments_direct(i), comments_indirect(i))
 
 
+@query
+def silver_incremental(i: Inputs) -> DataFrame:
+    """Silver comments after three runs, of which the last two take what has changed."""
+    store = SnapshotTables(i.spark, scratch_dir(i.spark, "silver"))
+    steps = [("silver", silver.silver_comments)]
+    for run, until in enumerate((FIRST_RUN, FIRST_RUN + 43_200, None)):
+        made_from = {name: store.latest(name) for name in ("direct", "indirect")} if run else {}
+        comments, posts = i.comments(until), i.posts(until)
+        matched = cut(bronze.submissions_full(posts, i.watch, CUTOFF))
+        store.overwrite(comment_ops.comments_direct(matched, comments, i.watch.post_bound(bronze.POSTS_PER_SUBREDDIT)), "direct")
+        store.overwrite(bronze.comments_indirect(posts, comments, i.watch, CUTOFF), "indirect")
+        if run:
+            incremental.update(store, made_from, ["comment_id"], steps)
+        else:
+            store.overwrite(silver.silver_comments(store.read("direct"), store.read("indirect")), "silver")
+    return store.read("silver")
+
+
 @query
 def silver_submissions(i: Inputs) -> DataFrame:
     return silver.silver_submissions(submissions_full(i))

@@ -303,3 +303,41 @@ def test_change_feed_of_a_table(spark, store):
     assert feed(0, 1) == [("3", "inserted")]
     assert feed(1, 2) == [("2", "updated"), ("3", "deleted"), ("4", "inserted")]
     assert feed(1, 1) == [] and feed(1, 0) == [("3", "deleted")]
+
+
+@pytest.fixture
+def sort_merge(spark):
+    """Every join as if both sides were too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, root, sort_merge):
+    from tidewatch import schemas
+    from tidewatch.operators.comments import comments_direct
+    from tidewatch.operators.merge import merge_upsert
+
+    posts = [("a", k, "t", str(i), "/p", 1, "x", float(i), 0.5) for i in range(30) for k in ("k", "l")]
+    comments = [(str(i % 40), f"c{i}", "body", 1, "/c", float(i)) for i in range(100)]
+    frames = {
+        "bucketed_posts": (spark.createDataFrame(posts, schemas.SUBMISSIONS), ["id"]),
+        "bucketed_comments": (spark.createDataFrame(comments, schemas.RAW_COMMENTS), ["submission_id"]),
+        "bucketed_target": (spark.createDataFrame(posts[:40], schemas.SUBMISSIONS), ["id", "key"]),
+        "bucketed_source": (spark.createDataFrame(posts[20:], schemas.SUBMISSIONS), ["id", "key"]),
+    }
+    try:
+        for name, (frame, by) in frames.items():
+            tables.write_table(frame, name, path=f"{root}/{name}", bucket_by=by, buckets=4)
+        stored = {name: tables.read_table(spark, name) for name in frames}
+        joined = comments_direct(stored["bucketed_posts"], stored["bucketed_comments"])
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert rows(joined) == rows(comments_direct(frames["bucketed_posts"][0], frames["bucketed_comments"][0]))
+        merged = merge_upsert(stored["bucketed_target"], stored["bucketed_source"], ["id", "key"])
+        text = plan(merged)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert rows(merged) == rows(spark.createDataFrame(posts, schemas.SUBMISSIONS))
+    finally:
+        for name in frames:
+            tables.drop_table(spark, name)

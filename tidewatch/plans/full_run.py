@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import BASE_URL
 from tidewatch.functions.time import NEW_YORK
+from tidewatch.operators import changes
 from tidewatch.operators.changes import config_flags
 from tidewatch.operators.comments import comments_direct
 from tidewatch.operators.newest import COMMENT_POSTS_PER_SUBREDDIT, POSTS_PER_SUBREDDIT, Posts
-from tidewatch.plans import bronze, gold, silver
+from tidewatch.plans import bronze, gold, incremental, silver
 from tidewatch.plans.decisions import has_updates, notify_action, refresh_action
 from tidewatch.plans.digest import digest
 from tidewatch.plans.growth import update_counts
@@ -96,20 +97,7 @@ def run_once(
         INDIRECT,
     )
 
-    tables.overwrite(
-        silver.silver_submissions(submissions, settings.base_url, settings.zone), SILVER_SUBMISSIONS
-    )
-    tables.overwrite(
-        silver.silver_comments(
-            tables.read(DIRECT), tables.read(INDIRECT), settings.base_url, settings.zone
-        ),
-        SILVER_COMMENTS,
-    )
-    for name, made in (
-        (GOLD_COMMENTS, gold.gold_comments(tables.read(SILVER_COMMENTS), lexicon)),
-        (GOLD_SUBMISSIONS, gold.gold_submissions(tables.read(SILVER_SUBMISSIONS), lexicon)),
-    ):
-        tables.overwrite(gold.as_stored(made), name, same_schema=True)
+    _refresh_silver_and_gold(spark, root, tables, lexicon, settings, anew=action in ("full", "rebuild"))
 
     if sync is not None:
         for name in (GOLD_SUBMISSIONS, GOLD_COMMENTS):
@@ -163,6 +151,50 @@ def _compare_lists(spark: SparkSession, root: str, watch: WatchList) -> dict[str
     )
 
 
+def _refresh_silver_and_gold(
+    spark: SparkSession, root: str, tables, lexicon: DataFrame, settings: Settings, anew: bool
+) -> None:
+    """Silver and gold, from the bronze rows that have changed since they were
+    last made; from all rows if that is not known, or the word list or a setting
+    they depend on is another."""
+    base, zone = settings.base_url, settings.zone
+    made_with = repr([base, zone, *changes.list_fingerprint(lexicon).first()])
+    comments, submissions = [
+        (SILVER_COMMENTS, lambda direct, indirect: silver.silver_comments(direct, indirect, base, zone)),
+        (GOLD_COMMENTS, lambda rows: gold.as_stored(gold.gold_comments(rows, lexicon))),
+    ], [
+        (SILVER_SUBMISSIONS, lambda rows: silver.silver_submissions(rows, base, zone)),
+        (GOLD_SUBMISSIONS, lambda rows: gold.as_stored(gold.gold_submissions(rows, lexicon))),
+    ]
+    made_from = {} if anew or not hasattr(tables, "changes") else _made_from(spark, root, made_with)
+    for sources, keys, steps in (
+        ([DIRECT, INDIRECT], ["comment_id"], comments),
+        ([SUBMISSIONS], bronze.MERGE_KEYS, submissions),
+    ):
+        known = all(made_from.get(name) in tables.versions(name) for name in sources) if made_from else False
+        if known and all(tables.exists(name) for name, _ in steps):
+            incremental.update(tables, {name: made_from[name] for name in sources}, keys, steps)
+            continue
+        inputs = [tables.read(name) for name in sources]
+        for name, step in steps:
+            tables.overwrite(step(*inputs), name, same_schema=name in (GOLD_COMMENTS, GOLD_SUBMISSIONS))
+            inputs = [tables.read(name)]
+    rows = [(name, tables.latest(name), made_with) for name in (DIRECT, INDIRECT, SUBMISSIONS)]
+    spark.createDataFrame(rows, _MADE_FROM).coalesce(1).write.mode("overwrite").parquet(f"{root}/config/made_from")
+
+
+_MADE_FROM = "table string, version bigint, made_with string"
+
+
+def _made_from(spark: SparkSession, root: str, made_with: str) -> dict[str, int]:
+    """The bronze versions that silver and gold hold, if made with the same settings."""
+    path = f"{root}/config/made_from"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return {}
+    rows = spark.read.schema(_MADE_FROM).parquet(path).collect()
+    return {r["table"]: r["version"] for r in rows if r["made_with"] == made_with}
+
+
 _REPORTED = "table string, version bigint"
 
 

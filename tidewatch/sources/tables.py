@@ -30,12 +30,23 @@ def write_table(
     format: str = "parquet",
     same_schema: bool = False,
     path: str | None = None,
+    bucket_by: list[str] | None = None,
+    buckets: int = 200,
 ) -> None:
-    """Replace a table. Its schema may change unless `same_schema` is set."""
+    """Replace a table. Its schema may change unless `same_schema` is set.
+
+    `bucket_by`: columns by whose hash the rows are dealt into `buckets` files a
+    task, sorted. Tables in equal buckets of the columns of a join or merge meet
+    without a shuffle, if they are read by name: the catalog knows the buckets.
+    """
     spark = df.sparkSession
     if same_schema and table_exists(spark, name):
         require_same_schema(read_table(spark, name).schema, df.schema, name)
     writer = df.write.format(format).mode("overwrite").option("overwriteSchema", not same_schema)
+    if bucket_by:
+        # One task per bucket, so that a bucket is one file.
+        writer = df.repartition(buckets, *bucket_by).write.format(format).mode("overwrite")
+        writer = writer.option("overwriteSchema", not same_schema).bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
