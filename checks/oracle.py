@@ -243,6 +243,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "submissions_full": _sql("select * from submissions"),
     "high_water_mark": _sql("select max(time_utc) time_utc from submissions_t0"),
+    "submissions_by_day": _sql("select * from incr"),
     "submissions_incremental": _sql("select * from incr"),
     "merge_submissions": _sql(
         """select coalesce(s.subreddit_name, t.subreddit_name) subreddit_name, coalesce(s."key", t."key") "key",

@@ -17,7 +17,7 @@ from tidewatch.operators.newest import newest_index
 from tidewatch.operators.topk import newest_k
 from tidewatch.plans import bronze, decisions, digest, full_run, gold, growth, incremental, silver
 from tidewatch.session import cut, scratch_dir
-from tidewatch.sources import jdbc, tables, watchlist
+from tidewatch.sources import by_day, jdbc, tables, watchlist
 from tidewatch.sources.snapshots import SnapshotTables
 from tidewatch.sources.watchlist import WatchList
 from tidewatch.streaming import stateful
@@ -236,6 +236,18 @@ def table_by_name(i: Inputs) -> DataFrame:
     return found
 
 
+@query
+def submissions_by_day(i: Inputs) -> DataFrame:
+    """Matches after the latest stored one, from posts stored by day: earlier days are not read.
+
+    The newest posts of a community that are later than the mark are the later
+    ones of its newest posts, so the limit may come behind."""
+    path = f"{scratch_dir(i.spark, 'days')}/posts"
+    by_day.write_by_day(i.wide_posts(), path, "created_utc", 8)
+    later = by_day.newer_posts(i.spark, path, match.high_water_mark(_submissions_t0(i)))
+    return bronze.submissions_full(later, i.watch, CUTOFF)
+
+
 @query
 def stream_submissions(i: Inputs) -> DataFrame:
     """All matches, found by a stream of post files; posts that come again are found once."""

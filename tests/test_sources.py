@@ -341,3 +341,29 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, root, sort_merge):
     finally:
         for name in frames:
             tables.drop_table(spark, name)
+
+
+def test_tables_by_day_are_read_from_the_mark_on(spark, root):
+    from helpers import post
+    from tidewatch import schemas
+    from tidewatch.sources.by_day import newer_posts, read_newer, write_by_day
+
+    day = 86_400.0
+    data = [post(str(i), title="k", at=i * day / 10) for i in range(100)] + [post("n", at=None), post("old", at=-0.5 * day)]
+    posts = spark.createDataFrame(data, schemas.POSTS)
+    write_by_day(posts, f"{root}/days", "created_utc", 4)
+    assert rows(read_newer(spark, f"{root}/days", "created_utc", None), "id") == rows(posts, "id")
+    for mark in (7.35 * day, 7 * day, -day, 99 * day):
+        got = read_newer(spark, f"{root}/days", "created_utc", mark)
+        assert rows(got, "id") == rows(posts.where(F.col("created_utc") > mark), "id")
+        assert got.columns == posts.columns
+    late = read_newer(spark, f"{root}/days", "created_utc", 7.35 * day)
+    text = plan(late)
+    assert "PartitionFilters: [isnotnull(day" in text and "(day#" in text and "GreaterThan(created_utc" in text
+    # Of eleven folders the last three hold rows of day 7 and later.
+    read = {r["f"].split("/day=")[1].split("/")[0] for r in late.select(F.input_file_name().alias("f")).collect()}
+    assert read == {"7", "8", "9"}
+    # A high-water mark from a frame; one of nothing reads nothing.
+    stored = posts.where("created_utc <= 800000").selectExpr("max(created_utc)")
+    assert newer_posts(spark, f"{root}/days", stored).index.count() == posts.where("created_utc > 800000").count()
+    assert newer_posts(spark, f"{root}/days", spark.sql("select cast(null as double)")).index.count() == 0
