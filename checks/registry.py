@@ -287,7 +287,7 @@ def comments_bucketed(i: Inputs) -> DataFrame:
         tables.write_table(frame, table, path=f"{root}/{name}", bucket_by=[key], buckets=8)
         stored[name] = tables.read_table(i.spark, table)
         tables.drop_table(i.spark, table)  # the files, named by path, stay
-    return comment_ops.comments_direct(stored["posts"], stored["comments"])
+    return comment_ops.comments_direct(stored["posts"], stored["comments"], buckets_meet=True)
 
 
 @query

@@ -3,6 +3,8 @@ import random
 import pytest
 
 from helpers import bronze_comments, comments_frame, plan, post, posts_of, rows, watch_list
+from tidewatch import schemas
+from tidewatch.operators import comments as ops
 from tidewatch.operators.comments import comments_direct, dedup_comments, drop_deleted, union_comments
 from tidewatch.operators.match import match_posts
 from tidewatch.plans import bronze, silver
@@ -100,3 +102,30 @@ def test_hot_key_dedup(spark):
     got = dedup_comments(bronze_comments(spark, data).repartition(8))
     assert got.count() == 51
     assert rows(got.where("comment_id = 'hot'"), "keyword") == [("k",)]
+
+
+def test_bitmap_keeps_all_wanted_rows_and_few_others(spark):
+    comments = spark.range(20_000).selectExpr("cast(id as string) submission_id", "concat('c', id) comment_id", "'b' body")
+    comments = comments.unionAll(comments.selectExpr("null", "'none'", "body").limit(1))
+    wanted = spark.range(0, 20_000, 50).selectExpr("cast(id as string) submission_id").unionAll(spark.sql("select cast(null as string)"))
+    for bits in (64, 1 << 10, 1 << 24):
+        passed = ops.among(comments, wanted, "submission_id", bits)
+        ids = {int(r["submission_id"]) for r in passed.collect()}
+        assert ids >= set(range(0, 20_000, 50)) and passed.columns == comments.columns
+        if bits == 1 << 24:  # at most 2 % of the others pass
+            assert len(ids) - 400 <= 0.02 * 19_600
+    assert ops.among(comments, wanted.where("false"), "submission_id").count() == 0
+
+
+def test_bitmap_stands_below_the_shuffle(spark):
+    raw = comments_frame(spark, [("1", "c1", "body", 1, "/c", 1.0), ("2", "c2", "body", 1, "/c", 1.0)])
+    posts = spark.createDataFrame([("a", "k", "t", "1", "/p", 1, "x", 1.0, 0.5)] * 2, schemas.SUBMISSIONS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ops.comments_direct(posts, raw)
+        text = plan(found)
+        below = text[text.index("body#") :]
+        assert "SortMergeJoin" in text and "shiftrightunsigned" in text and "BroadcastHashJoin" in below
+        assert [r["comment_id"] for r in found.collect()] == ["c1", "c1"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -330,7 +330,7 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, root, sort_merge):
         for name, (frame, by) in frames.items():
             tables.write_table(frame, name, path=f"{root}/{name}", bucket_by=by, buckets=4)
         stored = {name: tables.read_table(spark, name) for name in frames}
-        joined = comments_direct(stored["bucketed_posts"], stored["bucketed_comments"])
+        joined = comments_direct(stored["bucketed_posts"], stored["bucketed_comments"], buckets_meet=True)
         text = plan(joined)
         assert "SortMergeJoin" in text and "Exchange" not in text
         assert rows(joined) == rows(comments_direct(frames["bucketed_posts"][0], frames["bucketed_comments"][0]))

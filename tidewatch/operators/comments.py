@@ -8,11 +8,14 @@ from pyspark.sql.window import Window
 
 from tidewatch.functions.text import not_deleted
 from tidewatch.operators.match import match_keywords
-from tidewatch.sizes import broadcast_if
+from tidewatch.session import cut
+from tidewatch.sizes import MAX_BROADCAST_ROWS, broadcast_if
 from tidewatch.sources.watchlist import WatchList
 
 # Fixed value: the keyword of comments taken along with a matched post.
 NO_KEYWORD = "N/A"
+# Bits of the bitmap of ids; as 64-bit words a quarter of a million rows, 6 MB.
+BITMAP_BITS = 1 << 24
 
 
 def _bronze_comments(df: DataFrame, keyword: Column) -> DataFrame:
@@ -27,8 +30,27 @@ def _bronze_comments(df: DataFrame, keyword: Column) -> DataFrame:
     )
 
 
+def among(df: DataFrame, wanted: DataFrame, column: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """The rows of `df` whose `column` may be among that of `wanted`, and few others.
+
+    The hashes of the wanted values set bits of a bitmap, kept as words of 64
+    bits: at most bits / 64 rows, so it is broadcast whatever it is made from.
+    A row whose bit is not set is left out where it is read. Of rows that are
+    not wanted about (wanted values / bits) pass.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(bits))
+    word, bit = F.shiftright(slot, 6), (slot % 64).cast("int")
+    one = F.lit(1).cast("bigint")
+    words = wanted.where(F.col(column).isNotNull()).groupBy(word.alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", one, bit)).alias("_bits")
+    )
+    tested = df.where(F.col(column).isNotNull()).withColumn("_word", word).join(F.broadcast(words), "_word")
+    set_ = F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(one) == 1
+    return tested.where(set_).select(*df.columns)
+
+
 def comments_direct(
-    submissions: DataFrame, comments: DataFrame, max_posts: int | None = None
+    submissions: DataFrame, comments: DataFrame, max_posts: int | None = None, buckets_meet: bool = False
 ) -> DataFrame:
     """Every comment of each submissions row; a post stored under two keywords
     gives its comments twice.
@@ -36,9 +58,14 @@ def comments_direct(
     Only post ids and how often each is stored leave the submissions.
     `max_posts`, a proven bound on the ids, lets them be broadcast, so a post
     with a large share of all comments stays spread over the scan's tasks.
-    Without it AQE splits such a post.
+    Without it AQE splits such a post, and a bitmap of the ids, of fixed size,
+    keeps most comments of other posts out of the shuffle. `buckets_meet` leaves
+    the bitmap out, for tables that need no shuffle.
     """
     stored = submissions.groupBy(F.col("id").alias("submission_id")).agg(F.count("*").alias("_copies"))
+    if not buckets_meet and (max_posts is None or max_posts > MAX_BROADCAST_ROWS):
+        stored = cut(stored)  # ids alone, read twice
+        comments = among(comments, stored, "submission_id")
     joined = comments.join(broadcast_if(stored, max_posts), "submission_id")
     copies = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
     return _bronze_comments(joined.withColumn("_copy", F.explode(copies)), F.lit(NO_KEYWORD))
