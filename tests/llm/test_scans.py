@@ -51,8 +51,28 @@ def test_license_scan(frame, which, request):
 
 def test_license_scan_of_nothing(frame):
     assert license_scan.license_scan(frame([])).collect() == []
-    with pytest.raises(ValueError):
-        license_scan.license_scan(frame([]), {"long": " ".join(f"w{i}" for i in range(100))})
+
+
+def test_license_templates_of_any_length(frame):
+    """Whole licence texts beside one-line notices, against all blocks of each."""
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(900)]
+    templates = {f"t{n}": " ".join(rng.choice(pool) for _ in range(n)) for n in (3, 64, 65, 66, 160, 1500)}
+    rows = []
+    for i, (name, text) in enumerate(templates.items()):
+        own = text.split()
+        lost = own[: len(own) - len(own) // 20]  # nineteen of twenty words
+        noise = [f"x{k}" for k in range(rng.randint(0, 300))]
+        rows += [(10 * i, " ".join(noise + own + noise)), (10 * i + 1, " ".join(noise + lost)), (10 * i + 2, " ".join(own[: len(own) // 2]))]
+    got = license_scan.license_scan(frame(rows), templates, {}).collect()
+    for r in got:
+        text = dict(rows)[r["id"]]
+        want = set()
+        for name, template in templates.items():
+            want |= brute.template_matches(text, {name: template}, 0.9, license_scan.step_of(len(template.split())))
+        assert set(filter(None, r["labels"].split(","))) == want
+        if r["id"] % 10 == 0:
+            assert list(templates)[r["id"] // 10] in want
 
 
 def url_rows():

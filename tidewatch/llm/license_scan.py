@@ -42,11 +42,20 @@ TEMPLATES = {
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license version 2 0",
 }
 CONTAINMENT = 0.9
-# A block starts every STEP words and holds twice as many, so STEP + 1
-# consecutive words are always inside one block.
+# A block starts every `step` words and holds twice as many, so step + 1
+# consecutive words are always inside one block. Templates of up to STEP + 1
+# words share blocks of STEP; a longer one has blocks of the next doubling of it.
 STEP = 64
 
 
+def step_of(n_words: int) -> int:
+    """The step of the blocks for a template of so many words."""
+    step = STEP
+    while step + 1 < n_words:
+        step *= 2
+    return step
+
+
 @dataclass
 class Templates:
     """Templates and phrases over words numbered by corpus frequency."""
@@ -57,7 +66,7 @@ class Templates:
     names: list[str]
     sets: list[np.ndarray]  # sorted numbers
     required: list[int]
-    prefixes: dict[int, list[tuple[int, int]]]  # word: (template, position in it)
+    prefixes: dict[int, dict[int, list[tuple[int, int]]]]  # step, word: (template, position in it)
     phrases: list[tuple[str, list[int], int]]  # label, words, place of the rarest
 
     @classmethod
@@ -67,12 +76,14 @@ class Templates:
         keys, numbers = _keyed(vocabulary)
         names, sets, required, prefixes = [], [], [], {}
         for name, text in templates.items():
-            own = np.unique([number[w] for w in _split(text)])
+            words = _split(text)
+            own = np.unique([number[w] for w in words])
             if not len(own):
                 continue
+            first = prefixes.setdefault(step_of(len(words)), {})
             need = max(1, math.ceil(containment * len(own) - 1e-9))
             for position in range(len(own) - need + 1):
-                prefixes.setdefault(int(own[position]), []).append((len(names), position))
+                first.setdefault(int(own[position]), []).append((len(names), position))
             names.append(name)
             sets.append(own)
             required.append(need)
@@ -87,12 +98,12 @@ class Templates:
         """The number of each word, or -1, by 64-bit hashes."""
         return _numbered(words, self.keys, self.numbers)
 
-    def matches(self, block: np.ndarray, seen: list[int]) -> dict[int, float]:
-        """Containment of the templates that a block meets. block: its distinct
-        numbers, sorted; seen: those in a prefix."""
+    def matches(self, step: int, block: np.ndarray, seen: list[int]) -> dict[int, float]:
+        """Containment of the templates of `step` that a block meets. block: its
+        distinct numbers, sorted; seen: those in a prefix."""
         found, tried = {}, set()
         for word in seen:
-            for template, position in self.prefixes[word]:
+            for template, position in self.prefixes[step][word]:
                 need, own = self.required[template], self.sets[template]
                 if template in tried or len(block) < need:
                     continue
@@ -163,13 +174,10 @@ def license_scan(
     of a template that is met, else 0) and matches (block start, template,
     containment).
 
-    Templates are a list a person keeps. A template longer than STEP + 1 words
-    would not always fit a block and is refused. A null, empty or wordless text
+    Templates are a list a person keeps, of any length: whole licence texts have
+    longer blocks. A null, empty or wordless text
     has no places, empty labels and score 0.
     """
-    long = [name for name, text in templates.items() if len(_split(text)) > STEP + 1]
-    if long:
-        raise ValueError(f"templates of more than {STEP + 1} words: {long}")
     counts = word_counts(docs, _vocabulary(templates, phrases), id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(Templates.of(templates, phrases, containment, counts))
 
@@ -204,22 +212,22 @@ def _scanned(words: Words, known: Templates) -> dict:
             base[owners[start]].add(label)
 
     matches: list[list[dict]] = [[] for _ in range(n)]
-    in_prefix = np.zeros(len(known.vocabulary) + 1, bool)
-    in_prefix[list(known.prefixes)] = True
-    at = np.flatnonzero(in_prefix[numbers])
-    blocks: dict[tuple[int, int], set[int]] = {}
-    for i in at:
-        owner = int(owners[i])
-        block = int(i - words.bounds[owner]) // STEP
-        for number in {block, max(0, block - 1)}:
-            blocks.setdefault((owner, number), set()).add(int(numbers[i]))
-    for (owner, block), seen in sorted(blocks.items()):
-        low = words.bounds[owner] + block * STEP
-        inside = range(low, min(low + 2 * STEP, words.bounds[owner + 1]))
-        own = {int(numbers[i]) for i in inside if numbers[i] >= 0 and words.word(i) == known.vocabulary[numbers[i]]}
-        own = np.array(sorted(own), np.int64)
-        for template, share in sorted(known.matches(own, sorted(seen.intersection(own.tolist()))).items()):
-            matches[owner].append({"start": block * STEP, "template": known.names[template], "containment": share})
+    for step, prefixes in known.prefixes.items():
+        in_prefix = np.zeros(len(known.vocabulary) + 1, bool)
+        in_prefix[list(prefixes)] = True
+        blocks: dict[tuple[int, int], set[int]] = {}
+        for i in np.flatnonzero(in_prefix[numbers]):
+            owner = int(owners[i])
+            block = int(i - words.bounds[owner]) // step
+            for number in {block, max(0, block - 1)}:
+                blocks.setdefault((owner, number), set()).add(int(numbers[i]))
+        for (owner, block), seen in sorted(blocks.items()):
+            low = words.bounds[owner] + block * step
+            inside = range(low, min(low + 2 * step, words.bounds[owner + 1]))
+            own = {int(numbers[i]) for i in inside if numbers[i] >= 0 and words.word(i) == known.vocabulary[numbers[i]]}
+            own = np.array(sorted(own), np.int64)
+            for template, share in sorted(known.matches(step, own, sorted(seen.intersection(own.tolist()))).items()):
+                matches[owner].append({"start": block * step, "template": known.names[template], "containment": share})
     labels = [own | {m["template"] for m in met} for own, met in zip(base, matches, strict=True)]
     return {
         "n_words": words.counts,
