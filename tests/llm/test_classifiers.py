@@ -92,6 +92,63 @@ def test_attention_gradients():
         assert gradients[name][at] == pytest.approx((up - down) / (2 * step), abs=1e-5)
 
 
+def test_attention_equals_plain_loops():
+    choose = np.random.default_rng(4)
+    texts = [b"some words " * 90, b"", b"A!! 12 | x " * 200, b"one"]
+    f, counts = quality.passages(texts)
+    parts = {k: choose.normal(0, 0.5, s) for k, s in quality.SHAPES.items()}
+    model = quality.Attention(f.mean(0), f.std(0) + 0.1, parts)
+    at, wanted = 0, []
+    for n in counts:
+        codes, powers = [], []
+        for row in f[at : at + n]:
+            x = [(v - m) / s for v, m, s in zip(row, model.mean, model.scale, strict=True)]
+            h = [np.tanh(sum(x[i] * parts["E"][i, j] for i in range(len(x))) + parts["e"][j]) for j in range(quality.WIDTH)]
+            gate = 0.0
+            for g in range(quality.GATE):
+                v = sum(h[j] * parts["V"][j, g] for j in range(quality.WIDTH))
+                u = sum(h[j] * parts["U"][j, g] for j in range(quality.WIDTH))
+                gate += parts["w"][g] * np.tanh(v) / (1 + np.exp(-u))
+            codes.append(h)
+            powers.append(np.exp(gate))
+        z = [sum(p * h[j] for p, h in zip(powers, codes, strict=True)) / sum(powers) for j in range(quality.WIDTH)]
+        wanted.append(1 / (1 + np.exp(-(sum(z[j] * parts["c"][j] for j in range(quality.WIDTH)) + parts["b"][0]))))
+        at += n
+    assert model.scores(texts) == pytest.approx(wanted, abs=1e-9)
+
+
+def test_one_bad_passage_of_a_long_text_is_learnt_wherever_it_is():
+    choose = np.random.default_rng(3)
+    bad = b" ".join([b"$$$ ||| <<>> #@ 77 {x}"] * 11)
+
+    def texts(n):
+        made = []
+        for i in range(n):
+            words = choose.choice([b"river", b"stone", b"the", b"walks", b"of", b"Morning", b"quietly"], 20_000)
+            parts = [b" ".join(words[k : k + 64]) for k in range(0, 20_000, 64)]
+            if i % 2:
+                parts[choose.integers(len(parts))] = bad
+            made.append(b" ".join(parts))
+        return made, np.arange(n) % 2 == 0
+
+    train, y = texts(60)
+    model = quality.fitted(*quality.passages(train), y.astype(float))
+    new, y = texts(30)
+    assert ((model.scores(new) >= 0.5) == y).mean() > 0.95
+
+
+def test_blocks_and_executors_give_the_same_fit(spark, tables, monkeypatch):
+    docs, labels = tables
+    texts = [r["text"].encode() for r in docs.where("text is not null").limit(20).collect()]
+    here = quality.trained(docs, labels, rows=100, steps=6).scores(texts)
+    there = quality.trained(docs, labels, rows=100, steps=6, driver_passages=0).scores(texts)
+    assert here == pytest.approx(there, abs=1e-6)
+    monkeypatch.setattr(quality, "BLOCK", 7)
+    assert here == pytest.approx(quality.trained(docs, labels, rows=100, steps=6).scores(texts), abs=1e-6)
+    empty = labels.where("false")
+    assert set(quality.trained(docs, empty, driver_passages=-1).scores(texts)) == {0.5}
+
+
 def test_pairs_of_terms_are_learnt():
     """An insult alone and a group alone are clean; together they are not."""
     choose = np.random.default_rng(2)

@@ -8,25 +8,35 @@ weighted sum of their encodings is scored:
     h_k = tanh(E f_k),  a_k = softmax_k(w . (tanh(V h_k) * sigmoid(U h_k)))
     score = sigmoid(c . sum_k a_k h_k + b)
 
-The fit runs on a bounded sample of the labelled rows, measured by executors.
+The fit runs on a bounded sample of the labelled rows, all passages of each. They
+are measured by executors; gradients are summed over blocks of them, on the driver
+up to DRIVER_PASSAGES and by the executors that hold them beyond.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewatch.llm.labels import training_rows
-from tidewatch.llm.texts import NOT_BLANK, Words, map_batches, map_texts, slices
+from tidewatch.llm.texts import NOT_BLANK, Words, list_array, map_batches, map_texts, slices
+from tidewatch.session import cut
 
 PASSAGE = 64
 # Labelled rows to learn from, at most; half of them per class if there are.
 SAMPLE_ROWS = 3_000
-# Passages of one training text, evenly spread; scoring uses all.
-TRAINING_PASSAGES = 8
+# Passages of the sampled rows that the driver takes in (43 MB); more stay with the executors.
+DRIVER_PASSAGES = 400_000
+# Passages whose gradients are summed at a time, whole texts.
+BLOCK = 20_000
 WIDTH, GATE = 12, 8
 STEPS = 150
 RATE = 0.03
@@ -143,49 +153,114 @@ class Attention:
         }
 
 
-def fitted(measures: np.ndarray, counts: np.ndarray, y: np.ndarray) -> Attention:
-    """Both classes weigh the same. Without rows of both classes every score is 1/2."""
+SHAPES = {"E": (MEASURES, WIDTH), "e": (WIDTH,), "V": (WIDTH, GATE), "U": (WIDTH, GATE), "w": (GATE,), "c": (WIDTH,), "b": (1,)}
+
+
+def _blocks(measures: np.ndarray, counts: np.ndarray, y: np.ndarray):
+    """Whole rows, BLOCK passages at a time or one row of more."""
+    ends = np.cumsum(counts)
+    low = 0
+    while low < len(y):
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + BLOCK, "right")))
+        yield measures[done : ends[high - 1]].astype(float), counts[low:high], y[low:high]
+        low = high
+
+
+def _moments(measures: np.ndarray, counts: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Rows of either class, passages, and sums of the measures and of their squares."""
+    out = np.zeros(3 + 2 * MEASURES)
+    for f, own, label in _blocks(measures, counts, y):
+        out += np.concatenate([[(label == 0).sum(), (label == 1).sum(), own.sum()], f.sum(0), (f**2).sum(0)])
+    return out
+
+
+def _slopes(model: Attention, weights: np.ndarray, measures: np.ndarray, counts: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The gradients of the loss, one after another, each row weighed by its class."""
+    out = np.zeros(sum(int(np.prod(s)) for s in SHAPES.values()))
+    for f, own, label in _blocks(measures, counts, y):
+        weight = weights[label.astype(int)]
+        found = model.gradients((f - model.mean) / model.scale, own, lambda score, y=label, w=weight: (score - y) * w)
+        out += np.concatenate([found[k].ravel() for k in SHAPES])
+    return out
+
+
+def fitted(measures: np.ndarray, counts: np.ndarray, y: np.ndarray, steps: int = STEPS) -> Attention:
+    """A model of rows held here: the measures of all passages, the number of each row, labels."""
+    return _descended(lambda work: work(measures, counts, y), steps)
+
+
+def _descended(summed: Callable, steps: int) -> Attention:
+    """summed(work): the sum of work(measures, counts, y) over all rows, wherever they
+    are. Both classes weigh the same. Without rows of both classes every score is 1/2."""
     random = np.random.default_rng(11)
-    shapes = {"E": (MEASURES, WIDTH), "e": (WIDTH,), "V": (WIDTH, GATE), "U": (WIDTH, GATE), "w": (GATE,), "c": (WIDTH,), "b": (1,)}
-    if not len(y) or y.min() == y.max():
-        return Attention(np.zeros(MEASURES), np.ones(MEASURES), {k: np.zeros(s) for k, s in shapes.items()})
-    parts = {k: random.normal(0, 0.3, s) if len(s) == 2 or k in "wc" else np.zeros(s) for k, s in shapes.items()}
-    model = Attention(measures.mean(0), measures.std(0) + 1e-3, parts)
-    f = (measures - model.mean) / model.scale
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
-    state = {k: (np.zeros(s), np.zeros(s)) for k, s in shapes.items()}
-    for step in range(1, STEPS + 1):
-        gradients = model.gradients(f, counts, lambda score: (score - y) * weight)
-        for k, value in parts.items():
+    moments = summed(_moments)
+    rows, n = moments[:2], moments[2]
+    if not rows.all():
+        return Attention(np.zeros(MEASURES), np.ones(MEASURES), {k: np.zeros(s) for k, s in SHAPES.items()})
+    parts = {k: random.normal(0, 0.3, s) if len(s) == 2 or k in "wc" else np.zeros(s) for k, s in SHAPES.items()}
+    mean = moments[3 : 3 + MEASURES] / n
+    spread = np.sqrt(np.maximum(0, moments[3 + MEASURES :] / n - mean**2))
+    model = Attention(mean, spread + 1e-3, parts)
+    state = {k: (np.zeros(s), np.zeros(s)) for k, s in SHAPES.items()}
+    cuts = np.cumsum([int(np.prod(s)) for s in SHAPES.values()])[:-1]
+    for step in range(1, steps + 1):
+        flat = summed(partial(_slopes, model, 0.5 / rows))
+        for (k, value), part in zip(parts.items(), np.split(flat, cuts), strict=True):
             mean, square = state[k]
-            gradient = gradients[k] + PENALTY * value
+            gradient = part.reshape(value.shape) + PENALTY * value
             mean += 0.1 * (gradient - mean)
             square += 0.01 * (gradient**2 - square)
             value -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     return model
 
 
+def _rows(y: pa.Array, measures: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    counts = np.asarray(pc.list_value_length(measures)).astype(np.int64) // MEASURES
+    return np.asarray(measures.flatten()).reshape(-1, MEASURES), counts, np.asarray(y).astype(float)
+
+
 def trained(docs: DataFrame, labels: DataFrame, parts: int = PARTS, held_out: int = HELD_OUT,
-            rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Attention:
-    """Fitted on at most `rows` labelled rows with crc32(id) mod `parts` not `held_out`."""
+            rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text",
+            steps: int = STEPS, driver_passages: int = DRIVER_PASSAGES) -> Attention:
+    """Fitted on at most `rows` labelled rows with crc32(id) mod `parts` not `held_out`,
+    whole texts. Up to `driver_passages` passages are descended over on the driver;
+    with more, every step is a job over the measures where they are stored."""
     sample = training_rows(docs, labels, "quality", parts, held_out, rows, id_col, text_col)
     sample = sample.withColumnRenamed("label", "y")
 
     def work(y: pa.Array, texts: list[bytes]) -> dict:
         measures, counts = passages(texts)
-        first = np.cumsum(counts) - counts
-        kept = [
-            measures[low + np.unique(np.linspace(0, n - 1, min(n, TRAINING_PASSAGES)).astype(int))].ravel().tolist()
-            for low, n in zip(first, counts, strict=True)
-        ]
-        return {"y": y, "measures": kept}
-
-    found = map_texts(sample, work, "y bigint, measures array<float>", "y", "text").toArrow()
-    rows_found = sorted(zip(*(found.column(i).to_pylist() for i in range(2)), strict=True))
-    y = np.array([r[0] for r in rows_found], float)
-    counts = np.array([len(r[1]) // MEASURES for r in rows_found], np.int64)
-    flat = np.array([v for r in rows_found for v in r[1]], float).reshape(-1, MEASURES)
-    return fitted(flat, counts, y)
+        return {"y": y, "measures": list_array(measures.astype(np.float32).ravel(), counts * MEASURES)}
+
+    found = cut(map_texts(sample, work, "y bigint, measures array<float>", "y", "text"))
+    total = found.agg(F.sum(F.size("measures"))).first()[0] or 0
+    if total > driver_passages * MEASURES:
+        return _descended(partial(_summed, found), steps)
+    table = found.toArrow()
+    y, measures = (table.column(i).combine_chunks() for i in range(2))
+    flat, counts, y = _rows(y, measures)
+    # The same sums whatever the order of rows.
+    cuts = np.cumsum(counts)[:-1]
+    split = np.split(flat, cuts) if len(y) else []
+    order = sorted(range(len(y)), key=lambda i: (y[i], counts[i], xxhash.xxh64_intdigest(split[i].tobytes())))
+    flat = np.concatenate([split[i] for i in order]) if order else flat
+    return fitted(flat, counts[order], y[order], steps)
+
+
+def _summed(found: DataFrame, work: Callable) -> np.ndarray:
+    """The sum of `work` over the stored rows: some hundred numbers per partition come back."""
+
+    def run(batches):
+        out = 0
+        for batch in batches:
+            out = out + work(*_rows(batch.column(0), batch.column(1)))
+        if not isinstance(out, int):
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([out.tolist()], pa.list_(pa.float64()))})
+
+    parts = map_batches(found, run, "sums array<double>").collect()
+    empty = np.zeros((0, MEASURES), np.float32), np.zeros(0, np.int64), np.zeros(0)
+    return np.sum([work(*empty), *(np.array(r["sums"]) for r in parts)], axis=0)
 
 
 def quality(docs: DataFrame, model: Attention, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
