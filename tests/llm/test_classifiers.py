@@ -166,3 +166,69 @@ def test_pairs_of_terms_are_learnt():
     machine = toxicity.fitted(rows, float(np.mean(y)))
     scores = machine.scores(words)
     assert ((scores >= 0.5) == np.array(y, bool)).mean() > 0.97
+
+
+def test_pair_sum_equals_a_double_loop():
+    choose = np.random.default_rng(6)
+    texts = [b"one two two three four", b"", b"two five one one one", b"zz"]
+    words = Words.of(texts, LETTERS)
+    size = 1 << toxicity.TERM_BITS
+    slots = choose.integers(-1, 50, size).astype(np.int32)
+    machine = toxicity.Machine(slots, 0.3, choose.normal(size=50), choose.normal(size=(50, 4)))
+    owners, found, counts = toxicity.term_counts(words)
+    for i, score in enumerate(machine.scores(words)):
+        held = {}  # terms that share a slot are one term
+        for t, n in zip(found[owners == i], counts[owners == i], strict=True):
+            if slots[t] >= 0:
+                held[slots[t]] = held.get(slots[t], 0) + n
+        x = [(s, toxicity.strength(np.array([n]))[0]) for s, n in held.items()]
+        total = 0.3 + sum(machine.weights[s] * v for s, v in x)
+        for a in range(len(x)):
+            for b in range(a):
+                total += sum(machine.factors[x[a][0]] * machine.factors[x[b][0]]) * x[a][1] * x[b][1]
+        assert score == pytest.approx(1 / (1 + np.exp(-np.clip(total, -30, 30))), abs=1e-9)
+
+
+def test_margins_of_the_fit_equal_the_scores():
+    texts = [b"bad thing here", b"good thing", b"", b"bad bad good"]
+    words = Words.of(texts, LETTERS)
+    owners, found, counts = toxicity.term_counts(words)
+    n = int(found.max()) + 1
+    choose = np.random.default_rng(8)
+    weights, factors = choose.normal(size=n + 1), choose.normal(size=(n + 1, 4))
+    factors[0] = 0
+    terms = toxicity.Terms(owners, found, toxicity.strength(counts), len(texts), n)
+    slots = np.full(1 << toxicity.TERM_BITS, -1, np.int32)
+    slots[:n] = np.arange(n)
+    machine = toxicity.Machine(slots, weights[0], weights[1:], factors[1:])
+    assert machine.scores(words) == pytest.approx(1 / (1 + np.exp(-terms.margins(weights, factors))), abs=1e-4)
+    some = terms.part(np.array([1, 3]))
+    assert some.margins(weights, factors) == pytest.approx(terms.margins(weights, factors)[[1, 3]], abs=1e-4)
+
+
+def test_many_toxic_words_are_learnt(spark):
+    """600 words, each of them in few texts, one in a text."""
+    choose = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = sorted({"".join(choose.choice(letters, choose.integers(5, 10))) for _ in range(2_700)})
+    choose.shuffle(words)
+    toxic, clean = words[:600], words[600:]
+
+    def rows(n, low):
+        made = []
+        for i in range(n):
+            text = list(choose.choice(clean, choose.integers(20, 50)))
+            if i % 2:
+                text.insert(choose.integers(len(text)), choose.choice(toxic))
+            made.append((low + i, " ".join(text), i % 2))
+        return made
+
+    train, new = rows(10_000, 0), rows(2_000, 100_000)
+    docs = spark.createDataFrame(train + new, "doc_id bigint, text string, toxic int")
+    machine = toxicity.trained(docs, docs.where("doc_id < 100000"))
+    truth = {r[0]: r[2] for r in new}
+    scores = {r["id"]: r["score"] for r in toxicity.toxicity(docs.where("doc_id >= 100000"), machine).collect()}
+    found = [scores[i] >= 0.5 for i, y in truth.items() if y]
+    false = [scores[i] >= 0.5 for i, y in truth.items() if not y]
+    assert np.mean(found) > 0.9 and np.mean(false) < 0.02
+    assert toxicity.toxicity(docs.where("false"), machine).collect() == []

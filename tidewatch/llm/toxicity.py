@@ -8,7 +8,8 @@ languages carry an insult as a stem), hashed to TERM_BITS bits. The score is
 so that a pair of terms, such as an insult and the mention of a group, weighs
 more or less than the two alone. The pair sum takes one pass over the terms:
 half of (sum v x)^2 - sum (v x)^2. The fit runs on a bounded sample of the
-labelled rows, whose terms executors have hashed.
+labelled rows, whose terms executors have hashed. Every term seen often enough takes
+part; a penalty chosen on a part of the rows decides which keep a weight.
 """
 
 from __future__ import annotations
@@ -17,22 +18,32 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewatch.llm.labels import class_shares, training_rows
-from tidewatch.llm.texts import LETTERS, Words, map_texts, mixed
+from tidewatch.llm.texts import LETTERS, Words, arrow_schema, list_array, map_batches, map_texts, mixed, record_batch
+from tidewatch.session import cut
 
 # Labelled rows to learn from, at most; half of them per class if there are.
 SAMPLE_ROWS = 8_000
 TERM_BITS = 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
-# Terms with a weight: those that tell the classes apart best in the sample.
-TERMS = 1_500
-LEAST_TEXTS = 5
+# Terms that fewer sampled texts hold have no weight.
+LEAST_TEXTS = 3
+# More places of a term in one text count as this many.
+MOST_COUNTED = 8
 FACTORS = 4
-STEPS = 150
-RATE = 0.05
+# What a term's pull must exceed, in units of chance; the one that does best is taken.
+PENALTIES = (3.0, 2.0, 1.0, 0.5)
+STEPS = 60
+PAIR_STEPS = 60
+RATE = 0.02
 PENALTY = 5e-4
+# Slopes below this hardly move a factor.
+FLOOR = 1e-4
 
 PARTS, HELD_OUT = 5, 0
 
@@ -72,7 +83,7 @@ def term_counts(words: Words, slots: np.ndarray | None = None) -> tuple[np.ndarr
 
 def strength(counts: np.ndarray) -> np.ndarray:
     """The value of a term that stands in a text so many times."""
-    return np.minimum(1.0 + np.log(np.maximum(counts, 1)), 3.0)
+    return np.minimum(1.0 + np.log(np.clip(counts, 1, MOST_COUNTED)), 3.0)
 
 
 @dataclass
@@ -94,62 +105,147 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(total, -30, 30)))
 
 
+class Terms:
+    """The terms of rows, by row and by term: sums over either are runs of one array.
+
+    Place 0 of every row is the bias, a term of value 1.
+    """
+
+    def __init__(self, row: np.ndarray, term: np.ndarray, x: np.ndarray, rows: int, n: int):
+        row = np.concatenate([np.arange(rows, dtype=np.int32), row.astype(np.int32)])
+        term = np.concatenate([np.zeros(rows, np.int32), term.astype(np.int32) + 1])
+        x = np.concatenate([np.ones(rows, np.float32), x.astype(np.float32)])
+        order = np.argsort(row, kind="stable")
+        self.term, self.by_row = term[order], x[order]
+        self.row_starts = np.searchsorted(row[order], np.arange(rows))
+        order = np.argsort(term, kind="stable")
+        self.row, self.by_term = row[order], x[order]
+        self.present, self.term_starts = np.unique(term[order], return_index=True)
+        self.n = n + 1
+
+    def times(self, values: np.ndarray, power: int = 1) -> np.ndarray:
+        """Of each row the sum of values times x."""
+        return np.add.reduceat(values.astype(np.float32)[self.term] * self.by_row**power, self.row_starts).astype(float)
+
+    def back(self, values: np.ndarray, power: int = 1) -> np.ndarray:
+        """Of each term the sum of values times x."""
+        out = np.zeros(self.n)
+        if len(self.row):
+            out[self.present] = np.add.reduceat(values.astype(np.float32)[self.row] * self.by_term**power, self.term_starts)
+        return out
+
+    def part(self, rows: np.ndarray) -> Terms:
+        place = np.full(len(self.row_starts), -1)
+        place[rows] = np.arange(len(rows))
+        own = place[self.row]
+        term = np.repeat(self.present, np.diff(np.append(self.term_starts, len(self.row))))
+        kept = (own >= 0) & (term > 0)
+        return Terms(own[kept], term[kept] - 1, self.by_term[kept], len(rows), self.n - 1)
+
+    def margins(self, weights: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        out = self.times(weights)
+        for v in factors.T:
+            out += 0.5 * (self.times(v) ** 2 - self.times(v**2, 2))
+        return out
+
+
+def _probability(margin: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30)))
+
+
+def _loss(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """Weighted mean of the logistic loss."""
+    return float((weight * np.logaddexp(0, np.where(y > 0, -margin, margin))).sum() / weight.sum())
+
+
+def _weighed(x: Terms, y, weight, start: np.ndarray, penalty: float, steps: int) -> np.ndarray:
+    """Weights by accelerated proximal steps. A term's weight stays 0 unless its pull
+    exceeds `penalty` times what chance gives a term of its frequency."""
+    prior = (weight * y).sum() / weight.sum()
+    bar = penalty * np.sqrt(x.back((weight * (prior - y)) ** 2, 2))
+    bar[0] = 0
+    room = 0.25 * x.back(weight * x.times(np.ones(x.n))) + 1e-9
+    w, ahead, pace = start.copy(), start.copy(), 1.0
+    for _ in range(steps):
+        moved = ahead - x.back((_probability(x.times(ahead)) - y) * weight) / room
+        new = np.sign(moved) * np.maximum(0, np.abs(moved) - bar / room)
+        faster = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+        ahead = new + (pace - 1) / faster * (new - w)
+        w, pace = new, faster
+    return w
+
+
+def _paired(x: Terms, y, weight, w: np.ndarray, steps: int, judge=None) -> tuple[np.ndarray, int]:
+    """Factors beside the weights `w`, after the number of steps that `judge` finds
+    best (0: factors of 0), or after `steps` without one."""
+    factors = np.random.default_rng(5).normal(0, 0.01, (x.n, FACTORS))
+    factors[0] = 0
+    best, best_steps = (judge(np.zeros_like(factors)), 0) if judge else (0.0, steps)
+    if not steps:
+        return np.zeros_like(factors), 0
+    linear = x.times(w)
+    mean, square = np.zeros_like(factors), np.zeros_like(factors)
+    for step in range(1, steps + 1):
+        sums = [x.times(v) for v in factors.T]
+        margin = linear + sum(0.5 * (s**2 - x.times(v**2, 2)) for s, v in zip(sums, factors.T, strict=True))
+        error = (_probability(margin) - y) * weight
+        own = x.back(error, 2)
+        gradient = np.stack([x.back(error * s) for s in sums], 1) - own[:, None] * factors
+        gradient = gradient / weight.sum() + PENALTY * factors
+        gradient[0] = 0
+        mean += 0.1 * (gradient - mean)
+        square += 0.01 * (gradient**2 - square)
+        factors -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + FLOOR)
+        if judge and step % 5 == 0 and (found := judge(factors)) < best:
+            best, best_steps = found, step
+    return factors, best_steps
+
+
 def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], share: float) -> Machine:
     """rows: (label, hashed terms, counts). share: of label 1 among all labelled rows."""
     y = np.array([r[0] for r in rows], float)
+    sizes = [len(r[1]) for r in rows]
+    none = np.empty(0, np.int64)
+    term = np.concatenate([none, *(r[1] for r in rows)])
+    counts = np.concatenate([none, *(r[2] for r in rows)])
+    return learnt(y, np.repeat(np.arange(len(rows)), sizes), term, counts, share)
+
+
+def learnt(y: np.ndarray, row: np.ndarray, term: np.ndarray, counts: np.ndarray, share: float) -> Machine:
+    """A machine over all terms that stand in LEAST_TEXTS rows. Penalty and steps are
+    those that do best on every fifth row, after a fit to the others; the machine is
+    then fitted to all rows with them."""
     size = 1 << TERM_BITS
     slots = np.full(size, -1, np.int32)
-    if not len(rows) or y.min() == y.max():
+    if not len(y) or y.min() == y.max():
         prior = np.clip(share, 1e-3, 1 - 1e-3)
         return Machine(slots, float(np.log(prior / (1 - prior))), np.zeros(1), np.zeros((1, FACTORS)))
-    seen = [np.zeros(size), np.zeros(size)]
-    for label, values, _ in rows:
-        seen[int(label)][values] += 1
-    totals = [max(1.0, (y == k).sum()) for k in (0, 1)]
-    rates = [(seen[k] + 0.5) / (totals[k] + 1.0) for k in (0, 1)]
-    gain = np.abs(np.log(rates[1] / rates[0])) * np.sqrt(seen[0] + seen[1])
-    gain[seen[0] + seen[1] < LEAST_TEXTS] = 0
-    chosen = np.argsort(-gain, kind="stable")[:TERMS]
-    chosen = chosen[gain[chosen] > 0]
+    chosen = np.flatnonzero(np.bincount(term, minlength=size) >= LEAST_TEXTS)
     slots[chosen] = np.arange(len(chosen))
-
-    owners, columns, values = [], [], []
-    for i, (_, own, counts) in enumerate(rows):
-        place = slots[own]
-        owners.append(np.full((place >= 0).sum(), i))
-        columns.append(place[place >= 0])
-        values.append(strength(counts[place >= 0]))
-    owner, column, x = (np.concatenate(p) for p in (owners, columns, values))
+    kept = slots[term] >= 0
+    x = Terms(row[kept], slots[term[kept]], strength(counts[kept]), len(y), len(chosen))
     # Each class weighs as it does among all labelled rows.
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    weight /= weight.sum()
-    return _descended(owner, column, x, y, weight, slots, len(chosen), share)
-
-
-def _descended(owner, column, x, y, weight, slots, terms_used: int, share: float) -> Machine:
-    n = len(y)
-    random = np.random.default_rng(5)
-    bias = np.array([np.log(share / (1 - share))])
-    linear, factors = np.zeros(terms_used), random.normal(0, 0.01, (terms_used, FACTORS))
-    state = [(np.zeros_like(p), np.zeros_like(p)) for p in (bias, linear, factors)]
-    for step in range(1, STEPS + 1):
-        parts = factors[column] * x[:, None]
-        sums = np.stack([np.bincount(owner, parts[:, k], n) for k in range(FACTORS)], 1)
-        squares = np.bincount(owner, (parts**2).sum(1), n)
-        margin = bias[0] + np.bincount(owner, linear[column] * x, n) + 0.5 * ((sums**2).sum(1) - squares)
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) * weight
-        slope = error[owner] * x
-        pulls = slope[:, None] * (sums[owner] - parts)
-        gradients = (
-            np.array([error.sum()]),
-            np.bincount(column, slope, terms_used) + PENALTY / 10 * linear,
-            np.stack([np.bincount(column, pulls[:, k], terms_used) for k in range(FACTORS)], 1) + PENALTY * factors,
+    start = np.zeros(x.n)
+    start[0] = np.log(share / (1 - share))
+
+    judged = np.arange(len(y)) % 5 == 4
+    penalty, paired = PENALTIES[0], 0
+    if 0 < y[judged].sum() < judged.sum():
+        test, learn = x.part(np.flatnonzero(judged)), x.part(np.flatnonzero(~judged))
+        w, best = start, np.inf
+        for tried in PENALTIES:
+            w = _weighed(learn, y[~judged], weight[~judged], w, tried, STEPS)
+            loss = _loss(test.times(w), y[judged], weight[judged])
+            if loss < best:
+                best, penalty, weights = loss, tried, w
+        _, paired = _paired(
+            learn, y[~judged], weight[~judged], weights, PAIR_STEPS,
+            lambda v: _loss(test.margins(weights, v), y[judged], weight[judged]),
         )
-        for value, gradient, (mean, square) in zip((bias, linear, factors), gradients, state, strict=True):
-            mean += 0.1 * (gradient - mean)
-            square += 0.01 * (gradient**2 - square)
-            value -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    return Machine(slots, float(bias[0]), linear, factors)
+    w = _weighed(x, y, weight, start, penalty, 2 * STEPS)
+    factors, _ = _paired(x, y, weight, w, paired)
+    return Machine(slots, float(w[0]), np.append(w[1:], 0), np.vstack([factors[1:], np.zeros((1, FACTORS))]))
 
 
 def trained(docs: DataFrame, labels: DataFrame, parts: int = PARTS, held_out: int = HELD_OUT,
@@ -162,20 +258,57 @@ def trained(docs: DataFrame, labels: DataFrame, parts: int = PARTS, held_out: in
 
     def work(y: pa.Array, texts: list[bytes]) -> dict:
         owners, found, counts = term_counts(Words.of(texts, LETTERS))
-        cuts = np.searchsorted(owners, np.arange(1, len(texts)))
+        sizes = np.bincount(owners, minlength=len(texts))
         return {
             "y": y,
-            "terms": [x.tolist() for x in np.split(found, cuts)],
-            "counts": [x.tolist() for x in np.split(counts, cuts)],
+            "terms": list_array(found.astype(np.int32), sizes),
+            "counts": list_array(np.minimum(counts, MOST_COUNTED).astype(np.int8), sizes),
         }
 
-    found = map_texts(sample, work, "y bigint, terms array<int>, counts array<int>", "y", "text").toArrow()
-    made = [
-        (y, np.array(t, np.int64), np.array(c, np.int64))
-        for y, t, c in zip(*(found.column(i).to_pylist() for i in range(3)), strict=True)
-    ]
-    made.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))  # the same fit whatever the order of rows
-    return fitted(made, class_shares(labels, "toxic", parts, held_out))
+    schema = "y bigint, terms array<int>, counts array<tinyint>"
+    found = cut(map_texts(sample, work, schema, "y", "text"))
+    seen = found.select(F.explode("terms").alias("term")).groupBy("term").count().where(F.col("count") >= LEAST_TEXTS)
+    often = np.zeros(1 << TERM_BITS, bool)
+    often[np.asarray(seen.select("term").toArrow().column(0))] = True
+    y, terms_of, counts_of, sizes = _collected(found, often)
+    ends = np.cumsum(sizes)
+    each = [slice(e - n, e) for e, n in zip(ends, sizes, strict=True)]
+    # The same fit whatever the order of rows.
+    order = sorted(range(len(y)), key=lambda i: (y[i], sizes[i], xxhash.xxh64_intdigest(terms_of[each[i]].tobytes())))
+    none = np.empty(0, np.int32)
+    return learnt(
+        y[order].astype(float),
+        np.repeat(np.arange(len(y)), sizes[order]),
+        np.concatenate([none, *(terms_of[each[i]] for i in order)]),
+        np.concatenate([none, *(counts_of[each[i]] for i in order)]),
+        class_shares(labels, "toxic", parts, held_out),
+    )
+
+
+def _collected(found: DataFrame, often: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Labels, terms and counts of the stored rows, without terms that are not in
+    `often`, five bytes a term; and the number of terms of each row."""
+    shared = found.sparkSession.sparkContext.broadcast(often)
+    arrow = arrow_schema(found.schema)
+
+    def run(batches):
+        for batch in batches:
+            listed = batch.column(1)
+            values, counts = (np.asarray(batch.column(k).flatten()) for k in (1, 2))
+            kept = shared.value[values]
+            row = np.repeat(np.arange(len(listed)), np.asarray(pc.list_value_length(listed)))
+            sizes = np.bincount(row[kept], minlength=len(listed))
+            yield record_batch(
+                {"y": batch.column(0), "terms": list_array(values[kept], sizes), "counts": list_array(counts[kept], sizes)},
+                arrow,
+            )
+
+    table = map_batches(found, run, found.schema).toArrow().combine_chunks()
+    if not len(table):
+        return tuple(np.empty(0, np.int64) for _ in range(4))
+    y, terms_of, counts_of = (table.column(k).chunk(0) for k in range(3))
+    sizes = np.asarray(pc.list_value_length(terms_of)).astype(np.int64)
+    return np.asarray(y), np.asarray(terms_of.flatten()), np.asarray(counts_of.flatten()), sizes
 
 
 def toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
