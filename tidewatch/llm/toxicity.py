@@ -37,10 +37,12 @@ LEAST_TEXTS = 3
 MOST_COUNTED = 8
 FACTORS = 4
 # What a term's pull must exceed, in units of chance; the one that does best is taken.
-PENALTIES = (3.0, 2.0, 1.0, 0.5)
-STEPS = 60
-PAIR_STEPS = 60
-RATE = 0.02
+PENALTIES = (2.0, 1.0, 0.5)
+# What is left of it for the terms chosen.
+FREED = (0.2, 0.05)
+STEPS = 40
+PAIR_STEPS = 20
+RATE = 0.05
 PENALTY = 5e-4
 # Slopes below this hardly move a factor.
 FLOOR = 1e-4
@@ -134,13 +136,18 @@ class Terms:
             out[self.present] = np.add.reduceat(values.astype(np.float32)[self.row] * self.by_term**power, self.term_starts)
         return out
 
-    def part(self, rows: np.ndarray) -> Terms:
-        place = np.full(len(self.row_starts), -1)
-        place[rows] = np.arange(len(rows))
+    def part(self, rows: np.ndarray | None = None, terms_used: np.ndarray | None = None) -> Terms:
+        """Of these rows or terms only; rows are numbered anew, terms are not."""
+        place = np.arange(len(self.row_starts))
+        if rows is not None:
+            place[:] = -1
+            place[rows] = np.arange(len(rows))
         own = place[self.row]
         term = np.repeat(self.present, np.diff(np.append(self.term_starts, len(self.row))))
         kept = (own >= 0) & (term > 0)
-        return Terms(own[kept], term[kept] - 1, self.by_term[kept], len(rows), self.n - 1)
+        if terms_used is not None:
+            kept &= terms_used[term]
+        return Terms(own[kept], term[kept] - 1, self.by_term[kept], int((place >= 0).sum()), self.n - 1)
 
     def margins(self, weights: np.ndarray, factors: np.ndarray) -> np.ndarray:
         out = self.times(weights)
@@ -175,14 +182,32 @@ def _weighed(x: Terms, y, weight, start: np.ndarray, penalty: float, steps: int)
     return w
 
 
+def _refitted(x: Terms, y, weight, w: np.ndarray, penalty: float) -> np.ndarray:
+    """Weights of the terms that have one, freed of most of the penalty that chose them."""
+    return _weighed(x.part(terms_used=w != 0), y, weight, w, penalty, STEPS)
+
+
+def _cut(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The margin that divides the classes with the least weight of errors: the
+    middle of the widest gap between rows that does."""
+    order = np.argsort(margin, kind="stable")
+    margin, missed = margin[order], (weight * (y == 1))[order]
+    false = (weight * (y == 0))[order]
+    errors = np.concatenate([[0], np.cumsum(missed)])[1:-1] + np.cumsum(false[::-1])[::-1][1:]
+    best = np.flatnonzero(errors <= errors.min() + 1e-9)
+    at = best[np.argmax(margin[best + 1] - margin[best])]
+    return float(margin[at] + margin[at + 1]) / 2
+
+
 def _paired(x: Terms, y, weight, w: np.ndarray, steps: int, judge=None) -> tuple[np.ndarray, int]:
-    """Factors beside the weights `w`, after the number of steps that `judge` finds
-    best (0: factors of 0), or after `steps` without one."""
+    """Factors beside the weights `w` after `steps`, or after the number of steps that
+    `judge` finds best (0: factors of 0); and that number."""
     factors = np.random.default_rng(5).normal(0, 0.01, (x.n, FACTORS))
     factors[0] = 0
-    best, best_steps = (judge(np.zeros_like(factors)), 0) if judge else (0.0, steps)
     if not steps:
         return np.zeros_like(factors), 0
+    none = np.zeros_like(factors)
+    best = (judge(none), 0, none) if judge else None
     linear = x.times(w)
     mean, square = np.zeros_like(factors), np.zeros_like(factors)
     for step in range(1, steps + 1):
@@ -196,9 +221,9 @@ def _paired(x: Terms, y, weight, w: np.ndarray, steps: int, judge=None) -> tuple
         mean += 0.1 * (gradient - mean)
         square += 0.01 * (gradient**2 - square)
         factors -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + FLOOR)
-        if judge and step % 5 == 0 and (found := judge(factors)) < best:
-            best, best_steps = found, step
-    return factors, best_steps
+        if judge and step % 5 == 0 and (found := judge(factors)) < best[0]:
+            best = found, step, factors.copy()
+    return (best[2], best[1]) if judge else (factors, steps)
 
 
 def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], share: float) -> Machine:
@@ -212,9 +237,9 @@ def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], share: float) -> Mach
 
 
 def learnt(y: np.ndarray, row: np.ndarray, term: np.ndarray, counts: np.ndarray, share: float) -> Machine:
-    """A machine over all terms that stand in LEAST_TEXTS rows. Penalty and steps are
-    those that do best on every fifth row, after a fit to the others; the machine is
-    then fitted to all rows with them."""
+    """A machine over all terms that stand in LEAST_TEXTS rows. Penalties, steps and the
+    cut between the classes are those that do best on every fifth row, after a fit to
+    the others; the machine is then fitted to all rows with them."""
     size = 1 << TERM_BITS
     slots = np.full(size, -1, np.int32)
     if not len(y) or y.min() == y.max():
@@ -230,22 +255,26 @@ def learnt(y: np.ndarray, row: np.ndarray, term: np.ndarray, counts: np.ndarray,
     start[0] = np.log(share / (1 - share))
 
     judged = np.arange(len(y)) % 5 == 4
-    penalty, paired = PENALTIES[0], 0
+    penalty, freed, paired, cut_at = PENALTIES[-1], FREED[0], 0, 0.0
     if 0 < y[judged].sum() < judged.sum():
         test, learn = x.part(np.flatnonzero(judged)), x.part(np.flatnonzero(~judged))
+        rest = y[~judged], weight[~judged]
         w, best = start, np.inf
         for tried in PENALTIES:
-            w = _weighed(learn, y[~judged], weight[~judged], w, tried, STEPS)
-            loss = _loss(test.times(w), y[judged], weight[judged])
-            if loss < best:
-                best, penalty, weights = loss, tried, w
-        _, paired = _paired(
-            learn, y[~judged], weight[~judged], weights, PAIR_STEPS,
+            w = _weighed(learn, *rest, w, tried, STEPS)
+            for lesser in FREED:
+                refitted = _refitted(learn, *rest, w, lesser)
+                loss = _loss(test.times(refitted), y[judged], weight[judged])
+                if loss < best:
+                    best, penalty, freed, weights = loss, tried, lesser, refitted
+        factors, paired = _paired(
+            learn, *rest, weights, PAIR_STEPS,
             lambda v: _loss(test.margins(weights, v), y[judged], weight[judged]),
         )
-    w = _weighed(x, y, weight, start, penalty, 2 * STEPS)
+        cut_at = _cut(test.margins(weights, factors), y[judged], weight[judged])
+    w = _refitted(x, y, weight, _weighed(x, y, weight, start, penalty, 2 * STEPS), freed)
     factors, _ = _paired(x, y, weight, w, paired)
-    return Machine(slots, float(w[0]), np.append(w[1:], 0), np.vstack([factors[1:], np.zeros((1, FACTORS))]))
+    return Machine(slots, float(w[0]) - cut_at, np.append(w[1:], 0), np.vstack([factors[1:], np.zeros((1, FACTORS))]))
 
 
 def trained(docs: DataFrame, labels: DataFrame, parts: int = PARTS, held_out: int = HELD_OUT,
