@@ -232,3 +232,20 @@ def test_many_toxic_words_are_learnt(spark):
     false = [scores[i] >= 0.5 for i, y in truth.items() if not y]
     assert np.mean(found) > 0.9 and np.mean(false) < 0.02
     assert toxicity.toxicity(docs.where("false"), machine).collect() == []
+
+
+def test_terms_neutral_alone_are_learnt_as_a_pair():
+    """Either of two words alone is toxic; both or none are clean."""
+    choose = np.random.default_rng(3)
+    fill = [f"w{i}q" for i in range(300)]
+    texts, y = [], []
+    for _ in range(4_000):
+        a, b = (choose.random(2) < 0.5).tolist()
+        texts.append(" ".join(list(choose.choice(fill, 25)) + ["zorgal"] * a + ["mipsen"] * b).encode())
+        y.append(int(a != b))
+    y = np.array(y, float)
+    owners, found, counts = toxicity.term_counts(Words.of(texts, LETTERS))
+    known = owners < 3_000
+    machine = toxicity.learnt(y[:3_000], owners[known], found[known], counts[known], 0.5)
+    scores = machine.scores(Words.of(texts[3_000:], LETTERS))
+    assert ((scores >= 0.5) == y[3_000:]).mean() > 0.97

@@ -41,11 +41,11 @@ PENALTIES = (2.0, 1.0, 0.5)
 # What is left of it for the terms chosen.
 FREED = (0.2, 0.05)
 STEPS = 40
-PAIR_STEPS = 20
+PAIR_STEPS = 40
 RATE = 0.05
 PENALTY = 5e-4
 # Slopes below this hardly move a factor.
-FLOOR = 1e-4
+FLOOR = 1e-5
 
 PARTS, HELD_OUT = 5, 0
 
