@@ -117,23 +117,29 @@ class Terms:
         row = np.concatenate([np.arange(rows, dtype=np.int32), row.astype(np.int32)])
         term = np.concatenate([np.zeros(rows, np.int32), term.astype(np.int32) + 1])
         x = np.concatenate([np.ones(rows, np.float32), x.astype(np.float32)])
-        order = np.argsort(row, kind="stable")
+        order = np.argsort(row, kind="stable").astype(np.int32)
         self.term, self.by_row = term[order], x[order]
         self.row_starts = np.searchsorted(row[order], np.arange(rows))
-        order = np.argsort(term, kind="stable")
+        order = np.argsort(term, kind="stable").astype(np.int32)
         self.row, self.by_term = row[order], x[order]
         self.present, self.term_starts = np.unique(term[order], return_index=True)
         self.n = n + 1
 
     def times(self, values: np.ndarray, power: int = 1) -> np.ndarray:
         """Of each row the sum of values times x."""
-        return np.add.reduceat(values.astype(np.float32)[self.term] * self.by_row**power, self.row_starts).astype(float)
+        found = values.astype(np.float32)[self.term]
+        for _ in range(power):
+            found *= self.by_row
+        return np.add.reduceat(found, self.row_starts).astype(float)
 
     def back(self, values: np.ndarray, power: int = 1) -> np.ndarray:
         """Of each term the sum of values times x."""
         out = np.zeros(self.n)
         if len(self.row):
-            out[self.present] = np.add.reduceat(values.astype(np.float32)[self.row] * self.by_term**power, self.term_starts)
+            found = values.astype(np.float32)[self.row]
+            for _ in range(power):
+                found *= self.by_term
+            out[self.present] = np.add.reduceat(found, self.term_starts)
         return out
 
     def part(self, rows: np.ndarray | None = None, terms_used: np.ndarray | None = None) -> Terms:
@@ -248,16 +254,26 @@ def learnt(y: np.ndarray, row: np.ndarray, term: np.ndarray, counts: np.ndarray,
     chosen = np.flatnonzero(np.bincount(term, minlength=size) >= LEAST_TEXTS)
     slots[chosen] = np.arange(len(chosen))
     kept = slots[term] >= 0
-    x = Terms(row[kept], slots[term[kept]], strength(counts[kept]), len(y), len(chosen))
+    # Twelve bytes a term; the caller's arrays are given up.
+    row, slot = row[kept].astype(np.int32), slots[term[kept]]
+    value = strength(np.arange(MOST_COUNTED + 1)).astype(np.float32)[np.minimum(counts[kept], MOST_COUNTED)]
+    del term, counts, kept
+
+    def terms_of(rows: np.ndarray) -> Terms:
+        place = np.full(len(y), -1, np.int32)
+        place[rows] = np.arange(len(rows))
+        own = place[row]
+        return Terms(own[own >= 0], slot[own >= 0], value[own >= 0], len(rows), len(chosen))
+
     # Each class weighs as it does among all labelled rows.
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    start = np.zeros(x.n)
+    start = np.zeros(len(chosen) + 1)
     start[0] = np.log(share / (1 - share))
 
     judged = np.arange(len(y)) % 5 == 4
     penalty, freed, paired, cut_at = PENALTIES[-1], FREED[0], 0, 0.0
     if 0 < y[judged].sum() < judged.sum():
-        test, learn = x.part(np.flatnonzero(judged)), x.part(np.flatnonzero(~judged))
+        test, learn = terms_of(np.flatnonzero(judged)), terms_of(np.flatnonzero(~judged))
         rest = y[~judged], weight[~judged]
         w, best = start, np.inf
         for tried in PENALTIES:
@@ -272,6 +288,9 @@ def learnt(y: np.ndarray, row: np.ndarray, term: np.ndarray, counts: np.ndarray,
             lambda v: _loss(test.margins(weights, v), y[judged], weight[judged]),
         )
         cut_at = _cut(test.margins(weights, factors), y[judged], weight[judged])
+        del test, learn
+    x = terms_of(np.arange(len(y)))
+    del row, slot, value
     w = _refitted(x, y, weight, _weighed(x, y, weight, start, penalty, 2 * STEPS), freed)
     factors, _ = _paired(x, y, weight, w, paired)
     return Machine(slots, float(w[0]) - cut_at, np.append(w[1:], 0), np.vstack([factors[1:], np.zeros((1, FACTORS))]))
@@ -307,7 +326,7 @@ def trained(docs: DataFrame, labels: DataFrame, parts: int = PARTS, held_out: in
     none = np.empty(0, np.int32)
     return learnt(
         y[order].astype(float),
-        np.repeat(np.arange(len(y)), sizes[order]),
+        np.repeat(np.arange(len(y), dtype=np.int32), sizes[order]),
         np.concatenate([none, *(terms_of[each[i]] for i in order)]),
         np.concatenate([none, *(counts_of[each[i]] for i in order)]),
         class_shares(labels, "toxic", parts, held_out),
