@@ -130,15 +130,22 @@ def test_passages_of_nothing(frame):
     assert substring_dedup.repeated_passages(frame([(1, "a b c"), (2, None)])).collect() == []
 
 
-def test_exact_passages_of_the_corpus(frame, corpus):
+@pytest.mark.parametrize("heavy", [substring_dedup.HEAVY, 3])
+def test_exact_passages_of_the_corpus(frame, corpus, monkeypatch, heavy):
+    monkeypatch.setattr(substring_dedup, "HEAVY", heavy)
     windows = {}
     for i, text in corpus:
         own = brute.words(text)
         for j in range(len(own) - 49):
-            windows.setdefault(tuple(own[j : j + 50]), set()).add(i)
-    shared = {i for docs in windows.values() if len(docs) > 1 for i in docs}
-    found = {r["id"] for r in substring_dedup.repeated_passages(frame(corpus)).collect()}
-    assert shared <= found
+            windows.setdefault(tuple(own[j : j + 50]), set()).add((i, j))
+    covered = {}
+    for r in substring_dedup.repeated_passages(frame(corpus)).collect():
+        covered.setdefault(r["id"], set()).update(range(r["start"], r["stop"]))
+    shared = [places for places in windows.values() if len({i for i, _ in places}) > 1]
+    assert shared
+    for places in shared:
+        for i in {i for i, _ in places}:
+            assert any(set(range(j, j + 50)) <= covered.get(i, set()) for k, j in places if k == i)
 
 
 def altered_passages(seed):
@@ -230,27 +237,54 @@ def test_every_place_of_a_passage_is_reported(frame):
     assert found == want
 
 
-def test_a_context_cut_by_the_end_of_a_partition():
+def test_groups_of_a_heavy_minimum_meet():
     width = 2 * substring_dedup.AROUND + substring_dedup.SHINGLE
     marks = np.random.default_rng(12).integers(1, 1 << 15, (2, width)).astype(np.uint16)
     middle = slice(substring_dedup.AROUND, substring_dedup.AROUND + substring_dedup.SHINGLE)
     marks[1, middle] = marks[0, middle]
-    row = lambda doc, k: (7, k, doc, 0, 0, 60, 200, marks[k].tobytes())
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     schema = lambda text: pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in text.split(",")])
-    windows, extended = schema(substring_dedup._WINDOWS), schema(f"{substring_dedup._COLLISIONS}, sig bigint, ahead bigint, around binary")
-    pairs, ends = set(), []
+    windows, collisions = schema(substring_dedup._WINDOWS), schema(substring_dedup._COLLISIONS)
+    row = lambda salt, doc, k: (7, salt, k, doc, 0, 0, 60, 200, marks[k].tobytes())
     batch = lambda rows: pa.RecordBatch.from_pylist([dict(zip(windows.names, r, strict=True)) for r in rows], windows)
-    for part in ([row(1, 0), row(2, 1), row(3, 1)], [row(4, 1), row(5, 1)]):
-        for out in substring_dedup._collisions(iter([batch(part)]), extended, windows):
-            for r in out.to_pylist():
-                if r["b"] is None:
-                    ends.append((r["sig"], r["ahead"], r["a"], r["function"], r["l"], r["c"], r["r"], r["around"]))
-                elif r["stop"] - r["start"] >= 50:
-                    pairs.add((r["a"], r["b"]))
-    for out in substring_dedup._collisions(iter([batch(sorted(ends))]), schema(substring_dedup._COLLISIONS), None):
+    pairs, firsts = set(), []
+    for part in ([row(1, 1, 0), row(1, 2, 1), row(1, 3, 1)], [row(2, 4, 1), row(2, 5, 1)]):
+        # The rows of a group come in one batch or in several.
+        for cuts in ([part], [part[:2], part[2:]], [[r] for r in part]):
+            batches = [batch(rows) for rows in cuts if rows]
+            own = {(r["a"], r["b"]) for out in substring_dedup._collisions(iter(batches), collisions) for r in out.to_pylist() if r["stop"] - r["start"] >= 50}
+            first = [tuple(r.values()) for out in substring_dedup._first_windows(iter(batches), windows) for r in out.to_pylist()]
+            pairs |= own
+        firsts += first
+    assert {(r[1], r[3]) for r in firsts} == {(0, 1), (1, 3), (0, 4), (1, 5)}
+    for out in substring_dedup._collisions(iter([batch(sorted(firsts))]), collisions):
         pairs |= {(r["a"], r["b"]) for r in out.to_pylist() if r["stop"] - r["start"] >= 50}
-    assert {(2, 3), (4, 5), (2, 4)} <= pairs
+    assert {(2, 3), (4, 5), (3, 5)} <= pairs
+
+
+def test_every_minimum_dealt_to_groups(frame, monkeypatch):
+    want = {r["id"] for r in substring_dedup.repeated_passages(frame(passage_rows())).collect()}
+    monkeypatch.setattr(substring_dedup, "HEAVY", 2)
+    got = substring_dedup.repeated_passages(frame(passage_rows())).collect()
+    assert {r["id"] for r in got} == want
+    assert {(r["start"], r["stop"]) for r in got if r["id"] < 30} == {(30, 100)}
+
+
+def test_recall_of_edited_passages(frame):
+    """Pairs of passages with one to six replaced words, 0.8 alike or more."""
+    choose = random.Random(13)
+    words = lambda n: [f"q{choose.randrange(10**6)}" for _ in range(n)]
+    rows, pairs = [], 0
+    while pairs < 250:
+        one = words(choose.choice([55, 60, 100, 150, 300]))
+        two = edited(one, choose.randint(1, 6), choose)
+        a, b = brute.shingles(" ".join(one), 5), brute.shingles(" ".join(two), 5)
+        if len(a & b) >= 0.8 * len(a | b) and one[:5] == two[:5] and one[-5:] == two[-5:]:
+            rows += [(2 * pairs, " ".join(words(30) + one + words(9))), (2 * pairs + 1, " ".join(words(11) + two + words(40)))]
+            pairs += 1
+    found = {(r["id"], r["other_id"]) for r in substring_dedup.repeated_passages(frame(rows)).collect()}
+    assert all(a // 2 == b // 2 for a, b in found)
+    assert len(found) >= 0.95 * 2 * pairs
 
 
 def test_compact_windows_hold_every_minimum():
