@@ -256,10 +256,11 @@ def stream_submissions(i: Inputs) -> DataFrame:
     posts = i.wide_posts().select(*columns)
     again = posts.where(F.col("id").cast("bigint") % 3 == 0)
     for part in (posts, again):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/posts")
-    arriving = read_post_stream(i.spark, f"{root}/posts", 1)
-    done = stateful.follow_matches(arriving, i.watch, f"{root}/found", f"{root}/checkpoint", CUTOFF, "365 days")
-    done.awaitTermination()
+        # As many files as the posts take; each run of the stream goes on from the checkpoint.
+        part.write.mode("append").parquet(f"{root}/posts")
+        arriving = read_post_stream(i.spark, f"{root}/posts")
+        done = stateful.follow_matches(arriving, i.watch, f"{root}/found", f"{root}/checkpoint", CUTOFF, "365 days")
+        done.awaitTermination()
     return i.spark.read.schema(schemas.SUBMISSIONS).parquet(f"{root}/found")
 
 

@@ -1,5 +1,10 @@
+from datetime import datetime
+from pathlib import Path
+
 import pytest
 
+from checks import registry
+from checks.inputs import SCHEMAS
 from helpers import post, posts_frame, rows, watch_list
 from tidewatch.operators.match import match_posts
 from tidewatch.operators.newest import Posts
@@ -88,3 +93,23 @@ def test_stateful_stream_needs_a_list_it_can_hold(spark, root, monkeypatch):
     monkeypatch.setattr(stateful, "MAX_AUTOMATON_BYTES", 1)
     with pytest.raises(ValueError):
         stateful.match_stream(posts_frame(spark, [post("1")]), watch)
+
+
+def test_stream_query_writes_and_reads_posts_in_many_tasks(spark, root, monkeypatch):
+    """Posts that arrive are written by as many tasks as they take, not by one."""
+    ids = range(40)
+    tables = {
+        "documents": [(n, f"The title {n}\nand a body", "en", f"src{n % 3}", 24) for n in ids],
+        "events": [(n, datetime(2024, 1, 3, 0, n), 1, "view", 0.0, "{}") for n in ids],
+        "conversations": [(0, 0, "user", "hello")],
+    }
+    for name, values in tables.items():
+        spark.createDataFrame(values, SCHEMAS[name]).repartition(4).write.parquet(f"{root}/{name}.parquet")
+    monkeypatch.setattr(registry, "scratch_dir", lambda *_: f"{root}/stream")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = registry.QUERIES["stream_submissions"](spark, root)
+        assert rows(got, "id", "key") == sorted((str(n), "The") for n in ids)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list(Path(root, "stream", "posts").glob("part-*.parquet"))) > 2
