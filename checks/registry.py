@@ -13,7 +13,7 @@ from tidewatch import schemas
 from tidewatch.functions.sentiment import with_sentiment
 from tidewatch.functions.time import local_timestamp, utc_text
 from tidewatch.operators import changes, comments as comment_ops, match, merge
-from tidewatch.operators.newest import newest_index
+from tidewatch.operators.newest import Posts, newest_index
 from tidewatch.operators.topk import newest_k
 from tidewatch.plans import bronze, decisions, digest, full_run, gold, growth, incremental, silver
 from tidewatch.session import cut, scratch_dir
@@ -454,13 +454,20 @@ def two_runs(i: Inputs) -> tuple[SnapshotTables, list[full_run.RunReport]]:
     if key not in _RUNS:
         root = scratch_dir(i.spark, "runs")
         settings = full_run.Settings(cutoff=CUTOFF)
-        reports = [
-            full_run.run_once(
-                i.spark, root, i.posts(until), i.comments(until), i.subreddits, i.keywords,
-                watchlist.first_recipient(i.emails), i.lexicon, settings,
+        # A run reads the index and the comments many times: stored tables, as the original has them.
+        inputs = {"index": i.posts().index, "comments": i.comments()}
+        for name, frame in inputs.items():
+            frame.write.parquet(f"{root}/inputs/{name}")
+        index, comments = (i.spark.read.schema(frame.schema).parquet(f"{root}/inputs/{name}") for name, frame in inputs.items())
+        reports = []
+        for until in (FIRST_RUN, None):
+            seen = F.lit(True) if until is None else F.col("created_utc") <= until
+            reports.append(
+                full_run.run_once(
+                    i.spark, root, Posts(index.where(seen), i.content), comments.where(seen), i.subreddits, i.keywords,
+                    watchlist.first_recipient(i.emails), i.lexicon, settings,
+                )
             )
-            for until in (FIRST_RUN, None)
-        ]
         _RUNS[key] = SnapshotTables(i.spark, f"{root}/tables"), reports
     return _RUNS[key]
 

@@ -3,7 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import bronze_comments, comments_frame, post, posts_of, rows
+from checks import registry
+from checks.inputs import FIRST_RUN, Inputs
+from conftest import SF_DIR
+from helpers import bronze_comments, comments_frame, plan, post, posts_of, rows
 from tidewatch import schemas
 from tidewatch.plans import full_run
 from tidewatch.plans.decisions import growth, has_updates, notify_action, refresh_action
@@ -263,3 +266,16 @@ def test_previous_rows_survive_incremental_runs(world):
         now = set(rows(store.read(full_run.SUBMISSIONS), "id", "key"))
         assert kept <= now
         kept = now
+
+
+def test_both_runs_of_the_query_read_stored_inputs(spark, monkeypatch):
+    """The index and the comments are made once, not anew wherever a run reads them."""
+    given = []
+    monkeypatch.setattr(registry, "_RUNS", {})
+    monkeypatch.setattr(full_run, "run_once", lambda spark, root, posts, comments, *_: given.append((posts.index, comments)))
+    inputs = Inputs(spark, SF_DIR)
+    registry.two_runs(inputs)
+    for (index, comments), until in zip(given, (FIRST_RUN, None), strict=True):
+        assert "Join" not in plan(index) + plan(comments)
+        assert rows(index) == rows(inputs.posts(until).index)
+        assert rows(comments) == rows(inputs.comments(until))
