@@ -303,3 +303,20 @@ def test_compact_windows_hold_every_minimum():
         # a later one with a signature that stood before.
         seen = set(sign[own].tolist())
         assert seen and left[own].min() == 0 and right[own].max() == n - 1
+
+
+def test_words_are_hashed_once_for_all_hash_functions(monkeypatch):
+    calls = []
+    made = Words.hashes
+    monkeypatch.setattr(Words, "hashes", lambda self: calls.append(1) or made(self))
+    words = Words.of([b"one two three four five six seven eight nine ten"] * 2, LETTERS)
+    every = np.full(substring_dedup.BITMAP_BITS // 8, 255, np.uint8)
+    found = substring_dedup._handed_in(pa.array([1, 2]), words, (every, ~every), 4, 8)
+    assert len(found["sig"]) and calls == [1]
+
+
+def test_shingles_of_marks_are_told_apart_exactly():
+    marks = np.array([[1, 2, 3, 4, 5, 4095, 4095, 4095, 4095, 4095, 0, 1]], np.uint16)
+    got = substring_dedup._runs(marks, 7)[0].tolist()
+    rows = [marks[0, k : k + 5].tolist() for k in range(8)]
+    assert got == [7 if 0 in row else sum(m << 12 * (4 - k) for k, m in enumerate(row)) for row in rows]
