@@ -1,6 +1,9 @@
 """Near copies and repeated passages."""
 
+import glob
 import random
+import tempfile
+import time
 from collections import Counter
 
 import brute
@@ -11,7 +14,7 @@ import pytest
 from tidewatch.llm import near_copies, substring_dedup
 from tidewatch.llm.graph import components
 from tidewatch.llm.near_copies import Likeness
-from tidewatch.llm.texts import LETTERS, Words
+from tidewatch.llm.texts import LETTERS, Words, mixed, shingle_hashes
 
 
 def edited(words, edits, choose):
@@ -320,3 +323,53 @@ def test_shingles_of_marks_are_told_apart_exactly():
     got = substring_dedup._runs(marks, 7)[0].tolist()
     rows = [marks[0, k : k + 5].tolist() for k in range(8)]
     assert got == [7 if 0 in row else sum(m << 12 * (4 - k) for k, m in enumerate(row)) for row in rows]
+
+
+def test_texts_are_read_once_for_all_windows(frame, capsys):
+    substring_dedup.repeated_passages(frame(passage_rows()), 50).explain()
+    plan = [line.strip(" :+-") for line in capsys.readouterr().out.split("\n")]
+    # Texts to windows, their meetings and the first ones of heavy groups, then passages;
+    # the first two stand there for both readers of one shuffle.
+    assert len([line for line in plan if line.startswith("MapInArrow")]) == 6
+    at = [i for i, line in enumerate(plan) if line.startswith("Filter") and "salt" in line]
+    assert len(at) == 1 and plan[at[0] + 1].startswith("Exchange hashpartitioning(sig")
+
+
+def test_bounds_are_those_of_a_cartesian_tree():
+    rng = np.random.default_rng(14)
+    counts = np.array([0, 40, 1, 0, 300, 7])
+    owners = np.repeat(np.arange(len(counts)), counts)
+    first = np.cumsum(counts) - counts
+    at = np.flatnonzero(rng.random(len(owners)) < 0.4)
+    for values in (rng.permutation(len(at)), np.arange(len(at)), np.arange(len(at))[::-1]):
+        values = values.astype(np.uint64)
+        left, right = substring_dedup._bounds(values, at, owners[at], first, counts)
+        for i, place in enumerate(at.tolist()):
+            own = [j for j in range(len(at)) if owners[at[j]] == owners[place] and values[j] < values[i]]
+            before, after = [at[j] + 1 for j in own if j < i], [at[j] - 1 for j in own if j > i]
+            assert left[i] == max([first[owners[place]], *before])
+            assert right[i] == min([first[owners[place]] + counts[owners[place]] - 1, *after])
+
+
+def test_shingle_hashes_of_any_size():
+    hashes = np.random.default_rng(15).integers(0, 1 << 63, 70).astype(np.uint64)
+    base = 0xD1342543DE82EF95
+    for size in (1, 2, 3, 5, 10, 50, 70):
+        want = [sum(h * pow(base, size - k, 1 << 64) for k, h in enumerate(hashes[i : i + size].tolist())) % (1 << 64) for i in range(71 - size)]
+        assert (shingle_hashes(hashes, size) == mixed(np.array(want, np.uint64))).all()
+    assert len(shingle_hashes(hashes, 71)) == 0
+
+
+def test_shuffles_of_the_first_pass_are_not_kept(spark, frame):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files = lambda: {*glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data")}
+    was, before = files(), spark.conf.get(name, None)
+    kept = frame(passage_rows()).repartition(3, "doc_id").groupBy("doc_id").count()
+    assert len(substring_dedup._collected(kept)) == len({i for i, _ in passage_rows()})
+    assert spark.conf.get(name, None) == before
+    until = time.time() + 20
+    while files() - was and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - was
+    kept.collect()
+    assert files() - was
